@@ -122,6 +122,18 @@ def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((total[ends] - total[starts]) * down[starts])
 
 
+def hashes_in_pieces(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """`span_hashes` of ascending spans, a piece of `raw` at a time, so that one huge text needs no huge arrays."""
+    out = np.empty(len(starts), np.uint64)
+    i = 0
+    while i < len(starts):
+        j = max(i + 1, int(np.searchsorted(starts, starts[i] + PIECE_BYTES)))
+        lo, hi = starts[i], ends[j - 1]
+        out[i:j] = span_hashes(raw[lo:hi], starts[i:j] - lo, ends[i:j] - lo)
+        i = j
+    return out
+
+
 #: ASCII letters A to Z to lower case, other bytes unchanged.
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import LOWER, PIECE_BYTES, buffer_of, mix, pieces, ship, span_hashes, word_spans
+from lakeloom.llm.common import LOWER, buffer_of, hashes_in_pieces, mix, pieces, ship, word_spans
 
 #: Words of benchmark items in one broadcast block; about 100 bytes of tables a word.
 BLOCK_WORDS = 500_000
@@ -42,14 +42,7 @@ _STEP = np.uint64(0xD1342543DE82EF95)
 def words_of(raw: np.ndarray, offsets: np.ndarray):
     """(starts, ends, word hashes, words before each row) of lower-cased bytes."""
     starts, ends, before = word_spans(raw, offsets, WORD_BYTES)
-    hashes = np.empty(len(starts), np.uint64)
-    i = 0
-    while i < len(starts):  # hash in pieces, so that one huge text needs no huge arrays
-        j = max(i + 1, int(np.searchsorted(starts, starts[i] + PIECE_BYTES)))
-        lo, hi = starts[i], ends[j - 1]
-        hashes[i:j] = span_hashes(raw[lo:hi], starts[i:j] - lo, ends[i:j] - lo)
-        i = j
-    return starts, ends, hashes, before
+    return starts, ends, hashes_in_pieces(raw, starts, ends), before
 
 
 def chain(hashes: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:

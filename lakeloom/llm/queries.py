@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, simhash, token_counts
+from lakeloom.llm import decontaminate, mixing, quality_rules, simhash, token_counts, token_files
+from lakeloom.llm.common import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -23,15 +24,34 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = shared_dir(spark)
+    token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
+    return token_files.read_digests(spark, path)
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
+    base = quality_rules.passes("base")
+    return rows.select("doc_id", *quality_rules.MEASURES[:5], (~base).alias("base_failed"), (base & quality_rules.passes("v2")).alias("kept"), "failures")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), decontaminate.digest(F.col("items")).alias("items_sha256"), "contaminated")
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_counts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
+    "op6_token_files": op6_token_files,
+    "op8_quality_rules": op8_quality_rules,
     "op9_decontaminate": op9_decontaminate,
+    "op10_mixing": op10_mixing,
 }
 
 ORACLE_SQL: dict[str, str] = {}
