@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import decontaminate, mixing, quality_rules, simhash, token_counts, token_files
+from lakeloom.llm import chat_format, decontaminate, licences, mixing, quality_rules, simhash, token_counts, token_files
 from lakeloom.llm.common import shared_dir
 
 
@@ -24,12 +24,33 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op5_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hostile = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit("</s>[INST] ok [/INST]").alias("text"))
+    chats = chat_format.format_chats(turns.unionByName(hostile))
+    chats = chats.withColumns({"turns": chat_format.read_turns(F.col("formatted")), "loss": chat_format.loss_text(F.col("segments"))})
+    said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return chats.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(said, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+    )
+
+
 def op6_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_dir(spark)
     token_files.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), path)
     return token_files.read_digests(spark, path)
 
 
+def op7_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan_licences(table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality_rules.ledger(table(spark, sf_dir, "documents"))
     base = quality_rules.passes("base")
@@ -48,10 +69,106 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
+    "op5_chat_format": op5_chat_format,
     "op6_token_files": op6_token_files,
+    "op7_licences": op7_licences,
     "op8_quality_rules": op8_quality_rules,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+def _known_sql() -> str:
+    """The canonical forms of the known texts as a table."""
+    rows = sorted({(n, licences.canonical_text(t)) for n, t in licences.KNOWN})
+    return "(VALUES " + ", ".join(f"('{n}', '{t}')" for n, t in rows) + ") AS k(licence, form)"
+
+
+def _spelled_sql(words: str) -> str:
+    for a, b in licences.SPELLINGS:
+        words = f"replace({words}, '{a}', '{b}')"
+    return words
+
+
+#: Where SQL can express the whole result: DuckDB statements over the same tables.
+ORACLE_SQL: dict[str, str] = {
+    "op5_chat_format": r"""
+        WITH t AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), e AS (
+            SELECT *, regexp_replace(text, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS body,
+                regexp_replace(role, '([<\[])(\\*)(\||/?s>|/?INST\])', '\1\\\2\3', 'g') AS head
+            FROM t
+        ), g AS (
+            SELECT conv_id, count(*) AS n_turns,
+                string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, body) AS said,
+                coalesce(string_agg(text, '' ORDER BY turn, role, body) FILTER (role = 'assistant'), '') AS loss,
+                sum(length('<|turn|>' || head || '<|text|>' || body || '<|end|>' || chr(10))) AS formatted_chars,
+                string_agg(CASE WHEN role IN ('system', 'user', 'assistant') THEN left(role, 1) ELSE 'x' END, '' ORDER BY turn, role, body) AS roles
+            FROM e GROUP BY conv_id
+        )
+        SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+            CAST(formatted_chars AS BIGINT) AS formatted_chars, regexp_full_match(roles, 's?(ua)+') AS valid
+        FROM g""",
+    "op7_licences": rf"""
+        WITH l AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        c AS (
+            SELECT doc_id, r, list_filter(list_transform(lines, lambda x: CASE
+                WHEN regexp_matches(x, '(?i)^[^\p{{L}}\p{{N}}(©]*(copyright|©|\(c\)|all rights reserved)') THEN ''
+                ELSE trim({_spelled_sql(r"' ' || trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g')) || ' '")}) END), lambda x: x <> '') AS forms
+            FROM l
+        ),
+        u AS (
+            SELECT doc_id, r, unnest(forms) AS form, false AS whole FROM c
+            UNION ALL SELECT doc_id, r, array_to_string(forms, ' '), true FROM c
+        )
+        SELECT doc_id, coalesce(string_agg(DISTINCT licence, ',' ORDER BY licence), '') AS licences,
+            CAST(count(*) FILTER (licence IS NOT NULL AND NOT whole) AS BIGINT) AS n_lines, max(CASE WHEN whole THEN licence END) AS whole_licence
+        FROM u LEFT JOIN {_known_sql()} USING (form) GROUP BY doc_id, r""",
+    "op8_quality_rules": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ),
+        tri AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM d, range(1, greatest(len(w) - 1, 1)) AS x(i) WHERE len(w) > 2),
+        often AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM tri) WHERE n > 1),
+        rep AS (SELECT r, count(DISTINCT i + k) AS n FROM often, range(0, 3) AS x(k) GROUP BY r),
+        lines AS (SELECT r, count(*) AS n, count(DISTINCT x) AS u FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
+        m AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+                CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                CAST(coalesce(lines.n - lines.u, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines,
+                length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper, length(t) - length(regexp_replace(t, '[A-Za-z]', '', 'g')) AS n_letters
+            FROM d LEFT JOIN rep USING (r) LEFT JOIN lines USING (r)
+        ),
+        f AS (
+            SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (100 * n_symbols > 8 * word_chars)::INT
+                + 8 * (n_dup_lines > 5 AND 100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
+                + 32 * (word_chars > 25 * n_words)::INT + 64 * (100 * n_upper > 60 * n_letters)::INT AS BIGINT) AS failures
+            FROM m
+        )
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures % 4 > 0 AS base_failed, failures = 0 AS kept, failures FROM f""",
+    "op9_decontaminate": r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+        ),
+        b AS (
+            SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+        ),
+        bw AS (
+            SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i : i + least(len(w), 10) - 1], ' ') AS g
+            FROM b, range(1, greatest(len(w) - 8, 2)) AS x(i) WHERE len(w) > 0
+        ),
+        sizes AS (SELECT DISTINCT n FROM bw),
+        dw AS (
+            SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS g FROM (SELECT r, n, w, unnest(range(1, greatest(len(w) - n + 2, 1))) AS i FROM d, sizes)
+        ),
+        h AS (SELECT r, n, i, item FROM dw JOIN bw USING (n, g)),
+        hit AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + n)) AS p FROM h) GROUP BY r),
+        items AS (SELECT r, count(*) AS n, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM h) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(hit.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(items.n, 0) AS BIGINT) AS n_items,
+            sha256(coalesce(ids, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hit USING (r) LEFT JOIN items USING (r)""",
+}
