@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import chat_format, decontaminate, licences, mixing, quality_model, quality_rules, simhash, token_counts, token_files
+from lakeloom.llm import chat_format, decontaminate, html_extract, licences, mixing, quality_model, quality_rules, simhash, token_counts, token_files
 from lakeloom.llm.common import shared_dir
 
 
@@ -16,6 +16,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_model.score_quality(table(spark, sf_dir, "documents"))
 
@@ -71,6 +75,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_extract": op1_html_extract,
     "op2_quality_model": op2_quality_model,
     "op3_simhash": op3_simhash,
     "op4_token_counts": op4_token_counts,
