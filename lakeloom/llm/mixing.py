@@ -162,5 +162,6 @@ def mix(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str | None
     p = plan(docs, weigh, share, most, id_col, source_col, text_col)
     copies = p.groupBy(F.col("_id").alias("_taken")).agg(F.min("_copies").alias("_copies")).where("_copies > 0")
     copies = cut(copies, shared_dir(docs.sparkSession), "copies")
-    rows = docs.join(copies, docs[id_col].eqNullSafe(copies["_taken"]))
+    # The taken ids grow with the documents: always a shuffle (hash tables of ids, no sort of the texts), never a broadcast.
+    rows = docs.join(copies.hint("shuffle_hash"), docs[id_col].eqNullSafe(copies["_taken"]))
     return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(docs.columns)

@@ -217,7 +217,8 @@ def keep_first(docs: DataFrame, max_bits: int = 4, k: int = 4, seed: int = 42, i
     near = near_duplicates(docs, max_bits, k, seed, id_col, text_col)
     kept = near.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_kept")).agg(F.count("*").alias("_rows"))
     kept = cut(kept, shared_dir(spark), "kept")
-    rows = docs.join(kept, docs[id_col].eqNullSafe(kept["_kept"]))
+    # The kept ids grow with the documents: always a shuffle (hash tables of ids, no sort of the texts), never a broadcast.
+    rows = docs.join(kept.hint("shuffle_hash"), docs[id_col].eqNullSafe(kept["_kept"]))
     once = rows.where("_rows = 1").select(docs.columns)
     if kept.where("_rows > 1").isEmpty():
         return once
