@@ -29,7 +29,7 @@ from pyspark.sql.window import Window as W
 
 from lakeloom.llm.common import cut, shared_dir
 
-#: Documents of one size that are ranked in one task, Newton steps at most, relative error of the dual, single copies moved.
+#: Documents of one size that are ranked in one task (or a thousandth of all), Newton steps at most, relative error of the dual, single copies moved.
 PART, STEPS, CLOSE, MOVES = 1000, 40, 1e-7, 12
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -138,12 +138,16 @@ def plan(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str | Non
     if moves:
         step = spark.createDataFrame([(*at, n) for at, n in moves.items()], "_source int, _size long, _move int")
         rounded = rounded.join(F.broadcast(step), ["_source", "_size"], "left").withColumn("_k", F.col("_k") + F.coalesce("_move", F.lit(0))).drop("_move")
-    # The copies of a size go to its documents in the order of their hash, in parts of about PART documents.
-    parts = F.greatest(F.lit(1), F.ceil(F.col("_n") / PART)).cast("int")
-    cell = rounded.select("_source", "_size", F.floor(F.col("_k") / F.col("_n")).alias("_base"), ((F.col("_k") % F.col("_n")) / F.col("_n")).alias("_more"), parts.alias("_parts"))
-    h = F.xxhash64("_id", "_size")
-    rows = sized.join(number, F.col("_name").eqNullSafe(F.col("_of"))).drop("_of", "_mean")
-    rows = rows.join(cell, ["_source", "_size"]).withColumn("_h", h).withColumn("_part", F.pmod(F.shiftrightunsigned("_h", 20), F.col("_parts")).cast("int"))
+    # The copies of a size go to its documents in the order of their hash. A size of more documents than PART and than a thousandth
+    # of all is dealt out in parts; there are at most a thousand such sizes.
+    most_rows = max(PART, sum(docs_of.values()) // 1000)
+    parts = F.ceil(F.col("_n") / most_rows).cast("int")
+    large = F.broadcast(rounded.where(F.col("_n") > most_rows).select(F.col("_source"), F.col("_size"), parts.alias("_dealt")))
+    cell = rounded.select("_source", "_size", F.floor(F.col("_k") / F.col("_n")).alias("_base"), ((F.col("_k") % F.col("_n")) / F.col("_n")).alias("_more"), F.greatest(F.lit(1), parts).alias("_parts"))
+    cell = cell.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    rows = sized.join(number, F.col("_name").eqNullSafe(F.col("_of"))).drop("_of", "_mean").withColumn("_h", F.xxhash64("_id", "_size"))
+    rows = rows.join(large, ["_source", "_size"], "left").withColumn("_part", F.pmod(F.shiftrightunsigned("_h", 20), F.coalesce("_dealt", F.lit(1))).cast("int"))
+    rows = rows.join(cell, ["_source", "_size", "_part"])
     rank = F.row_number().over(W.partitionBy("_source", "_size", "_part").orderBy("_h", "_id"))
     lead = F.when(F.col("_parts") == 1, 0.0).otherwise(F.pmod(F.col("_part") * 0.6180339887498949, F.lit(1.0))) + 1e-9
     rows = rows.withColumn("_rank", rank)
