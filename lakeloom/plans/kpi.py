@@ -18,6 +18,22 @@ def _cents(c: str):
     return F.sum(F.col(c).cast("decimal(22,2)"))
 
 
+def overall_rank(df: DataFrame, column: str) -> DataFrame:
+    """Each distinct value of a number column with its rank over all rows, largest first, nulls last.
+
+    Values fall into buckets by their logarithm (a monotone function with at most some 80,000 values, whatever the input); only the
+    buckets' counts meet in one task, and ranks within a bucket are taken by bucket.
+    """
+    x = F.col(column).cast("double")
+    bucket = F.coalesce(F.floor(F.signum(x) * F.log1p(F.abs(x)) * 512).cast("int"), F.lit(-(10**9)))
+    amounts = df.groupBy(column).agg(F.count("*").alias("_n")).withColumn("_bucket", bucket)
+    before = W.orderBy(F.desc("_bucket")).rowsBetween(W.unboundedPreceding, -1)
+    above = amounts.groupBy("_bucket").agg(F.sum("_n").alias("_n")).select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_above"))
+    inside = W.partitionBy("_bucket").orderBy(F.desc_nulls_last(column)).rowsBetween(W.unboundedPreceding, -1)
+    placed = amounts.withColumn("_within", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
+    return placed.join(F.broadcast(above), "_bucket").select(column, (F.col("_above") + F.col("_within") + 1).alias("place"))
+
+
 def customer_kpi(mart: DataFrame) -> DataFrame:
     """Ranks within region, segment and all customers, with the summaries of region and segment."""
     by = lambda k: F.rank().over(W.partitionBy(k).orderBy(F.desc_nulls_last("total_sales")))
@@ -26,9 +42,7 @@ def customer_kpi(mart: DataFrame) -> DataFrame:
         _cents("total_sales").cast("double").alias("segment_sales"), _cents("total_profit").cast("double").alias("segment_profit"), F.count("customer_id").alias("segment_total_customers"),
         F.avg("recency_days").alias("avg_recency"), F.avg("customer_lifetime_days").alias("avg_lifetime"),
     )
-    # The overall rank counts the customers at each amount first: the one-partition window holds distinct amounts, without other columns.
-    amounts = mart.groupBy("total_sales").agg(F.count("*").alias("n"))
-    ranked = amounts.select(F.col("total_sales").alias("_t"), (F.coalesce(F.sum("n").over(W.orderBy(F.desc_nulls_last("total_sales")).rowsBetween(W.unboundedPreceding, -1)), F.lit(0)) + 1).cast("int").alias("overall_sales_rank"))
+    ranked = overall_rank(mart, "total_sales").select(F.col("total_sales").alias("_t"), F.col("place").cast("int").alias("overall_sales_rank"))
     rows = mart.withColumns({"region_sales_rank": by("region"), "segment_sales_rank": by("segment")}).join(ranked, F.col("total_sales").eqNullSafe(F.col("_t")))
     rows = rows.join(region, F.col("region") == F.col("_r"), "left").join(segment, F.col("segment") == F.col("_s"), "left")
     own = ["customer_id", "customer_name", "segment", "region", "total_sales", "total_profit", "total_orders", "avg_order_value", "recency_days", "customer_lifetime_days", "discount_sensitivity", "profitability_flag"]

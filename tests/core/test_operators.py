@@ -140,3 +140,13 @@ def test_placeholders_drift_and_metrics(spark):
     assert observe.detect_drift(["a", "n", "i"], ["a", "m"], ["i"]) == {"NEW": ["n"], "MISSING": ["m"], "IGNORED": ["i"]}
     assert observe.run_metrics(10, 3, 4, 2.0)["unchanged_rows"] == 3 and observe.run_metrics(1, 5, 0, 0)["unchanged_rows"] == 0
     assert observe.partition_skew(spark.range(100).repartition(4)).first()["rows"] == 100
+
+
+def test_overall_rank(spark):
+    from lakeloom.plans import kpi
+
+    values = [5.0, 5.0, None, -3.0, 0.0, 1e12, 7.25, 7.26, -0.5, None, 0.01]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    known = [v for v in values if v is not None]
+    got = {r["v"]: r["place"] for r in kpi.overall_rank(df, "v").collect()}
+    assert got == {v: sum(x > v for x in known) + 1 for v in known} | {None: len(known) + 1}
