@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Bytes of text that one numpy pass takes; the working arrays are about ten times as large.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 
 _U64 = np.uint64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -27,10 +27,7 @@ def ship(spark: SparkSession) -> None:
 
 def shared_dir(spark: SparkSession) -> str:
     """A new folder under spark.checkpoint.dir, which all executors share; a local one only where the setting is unset."""
-    top = spark.conf.get("spark.checkpoint.dir", None)
-    if not top:
-        top = f"file:///tmp/lakeloom-checkpoints-{spark.sparkContext.applicationId}"
-        spark.conf.set("spark.checkpoint.dir", top)
+    top = spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/lakeloom-checkpoints-{spark.sparkContext.applicationId}"
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
 
 

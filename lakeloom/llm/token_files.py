@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import buffer_of, hashes_in_pieces, pieces, ship
 
 #: Longest code in bits; ids between two checkpoints; ids of a block, save for longer documents; remembered chunks.
-LONGEST, EVERY, BLOCK_IDS, REMEMBERED = 20, 128, 1 << 16, 2_000_000
+LONGEST, EVERY, BLOCK_IDS, REMEMBERED = 20, 128, 1 << 16, 1_500_000
 
 #: Bytes that surely end a character other than white space (of the others, some end a Unicode space).
 _NO_SPACE = np.zeros(256, bool)
@@ -67,6 +67,11 @@ def cuts(raw: np.ndarray, offsets: np.ndarray, at_marks: bool) -> np.ndarray:
     return begins
 
 
+def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    at = np.searchsorted(a[0], b[0])
+    return np.insert(a[0], at, b[0]), np.insert(a[1], at, b[1])
+
+
 class Encoder:
     """Ids of whole texts as the library gives them."""
 
@@ -85,9 +90,36 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        #: Hashes of the remembered chunks in ascending order, each one's number, and by number the ids.
-        self.keys, self.number = np.empty(0, np.uint64), np.empty(0, np.int64)
-        self.ends, self.store = np.zeros(1, np.int64), np.empty(0, np.int32)
+        #: Hashes of the remembered chunks in ascending order with each one's number, in two parts: the second takes new ones until it is
+        #: large enough to be merged. By number, the end of the ids in the store, which grows by doubling.
+        self.parts = [(np.empty(0, np.uint64), np.empty(0, np.int64))] * 2
+        self.count, self.ends = 0, np.zeros(1 << 12, np.int64)
+        self.store = np.empty(1 << 14, np.int32)
+
+    def number_of(self, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of ascending hashes, -1 where unknown."""
+        out = np.full(len(hashes), -1, np.int64)
+        for keys, number in self.parts:
+            if len(keys):
+                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
+                known = keys[at] == hashes
+                out[known] = number[at[known]]
+        return out
+
+    def remember(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Add ascending hashes with their ids, which are stored in another order; the new numbers."""
+        first, used = self.count, int(self.ends[self.count])
+        self.count += len(hashes)
+        while len(self.ends) <= self.count:
+            self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
+        while len(self.store) < used + len(ids):
+            self.store = np.concatenate([self.store, np.empty_like(self.store)])
+        self.ends[first + 1 : self.count + 1] = used + np.cumsum(sizes)
+        self.store[used : used + len(ids)] = ids
+        old, new = self.parts
+        new = _merged(new, (hashes, first + place))
+        self.parts = [_merged(old, new), (np.empty(0, np.uint64), np.empty(0, np.int64))] if 16 * len(new[0]) > len(old[0]) + (1 << 16) else [old, new]
+        return first + place
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string column, without added special tokens."""
@@ -99,22 +131,24 @@ class Encoder:
             out += self._piece(*buffer_of(column.slice(lo, hi - lo)))
         return out
 
-    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all chunks, and how many each has."""
-        simple = [i for i, x in enumerate(chunks) if _SIMPLE.fullmatch(x) and not any(t in x for t in self.added)]
-        if len(self.line_end) == 1 and simple:
-            ids = np.array(self.model.encode_batch_fast(["\n".join(chunks[i] for i in simple)], add_special_tokens=False)[0].ids, np.int32)
-            ends = np.flatnonzero(ids == self.line_end[0])
-        if len(self.line_end) != 1 or not simple or len(ends) != len(simple) - 1:
-            found = [np.array(e.ids, np.int32) for e in self.model.encode_batch_fast(chunks, add_special_tokens=False)]
+    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all chunks one after another, how many each has, and the place of each chunk in that order."""
+        added = self.added if any(t in x for t in self.added for x in ("".join(chunks),)) else []
+        simple = [bool(_SIMPLE.fullmatch(x)) and not any(t in x for t in added) for x in chunks]
+        together = [x for x, y in zip(chunks, simple, strict=True) if y] if len(self.line_end) == 1 else []
+        ids = np.array(self.model.encode_batch_fast(["\n".join(together)], add_special_tokens=False)[0].ids, np.int32)
+        ends = np.flatnonzero(ids == self.line_end[0])
+        if not together or len(ends) != len(together) - 1:
+            simple, ids, sizes = [False] * len(chunks), ids[:0], ends[:0]
         else:
-            found = [None] * len(chunks)
-            for i, x in zip(simple, np.split(ids, ends), strict=True):
-                found[i] = x if i == simple[0] else x[1:]
-            rest = [i for i, x in enumerate(found) if x is None]
-            for i, e in zip(rest, self.model.encode_batch_fast([chunks[i] for i in rest], add_special_tokens=False), strict=True):
-                found[i] = np.array(e.ids, np.int32)
-        return np.concatenate(found), np.fromiter(map(len, found), np.int64, len(found))
+            sizes = np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1
+            ids = np.delete(ids, ends)
+        alone = [e.ids for e in self.model.encode_batch_fast([x for x, y in zip(chunks, simple, strict=True) if not y], add_special_tokens=False)]
+        ids = np.concatenate([ids, *(np.array(x, np.int32) for x in alone)])
+        sizes = np.concatenate([sizes, np.fromiter(map(len, alone), np.int64, len(alone))])
+        place = np.empty(len(chunks), np.int64)
+        place[np.argsort(~np.array(simple, bool), kind="stable")] = np.arange(len(chunks))
+        return ids, sizes, place
 
     def _piece(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         whole = raw.tobytes()
@@ -122,19 +156,13 @@ class Encoder:
         ends = np.append(starts[1:], len(raw))
         before = np.searchsorted(starts, offsets)
         hashes, where, chunk = np.unique(hashes_in_pieces(raw, starts, ends), return_index=True, return_inverse=True)
-        if len(self.keys) > REMEMBERED:
+        if self.count > REMEMBERED:
             self.forget()
-        at = np.searchsorted(self.keys, hashes)
-        new = np.ones(len(hashes), bool)
-        inside = at < len(self.keys)
-        new[inside] = self.keys[at[inside]] != hashes[inside]
+        number = self.number_of(hashes)
+        new = number < 0
         if new.any():
-            ids, sizes = self._learn([whole[a:b].decode() for a, b in zip(starts[where[new]], ends[where[new]], strict=True)])
-            first = len(self.ends) - 1
-            self.keys, self.number = np.insert(self.keys, at[new], hashes[new]), np.insert(self.number, at[new], np.arange(first, first + len(sizes)))
-            self.store = np.concatenate([self.store, ids])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
-        number = self.number[np.searchsorted(self.keys, hashes)][chunk]
+            number[new] = self.remember(hashes[new], *self._learn([whole[a:b].decode() for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)]))
+        number = number[chunk]
         start, sizes = self.ends[number], self.ends[number + 1] - self.ends[number]
         stop = np.concatenate([[0], np.cumsum(sizes)])
         flat = self.store[np.repeat(start - stop[:-1], sizes) + np.arange(stop[-1])]
