@@ -7,6 +7,7 @@ The tables hold no nulls and no orphans, so dirty cases come from fixed predicat
 from __future__ import annotations
 
 import datetime
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,9 @@ from lakeloom.functions.numbers import rounded
 from lakeloom.functions.text import clean_strings as clean
 from lakeloom.functions.text import conform_values as conform
 from lakeloom.operators import dedup, merge, observe, rules, scans, scd2
-from lakeloom.plans import features, kpi, marts
+from lakeloom.plans import features, kpi, marts, medallion
+from lakeloom.sources.store import TableStore, inventory
+from lakeloom.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -321,11 +324,48 @@ def without_ingested(spark, sf_dir):
 
 @query("layer_inventory", """SELECT * FROM (SELECT 'customer' AS name, count(*) AS "rows", 1 AS place FROM customer UNION ALL SELECT 'orders', count(*), 2 FROM orders UNION ALL SELECT 'lineitem', count(*), 3 FROM lineitem UNION ALL SELECT 'absent', 0, 4)""", entities=False)
 def layer_inventory(spark, sf_dir):
-    from lakeloom.sources.store import inventory
-
     return inventory(spark, {n: f"{sf_dir}/{n}.parquet" for n in ("customer", "orders", "lineitem", "absent")})
 
 
+# --- Ingest and layers, over folders of their own in the shared place --------------------------------------------------------
+
+
+def _folder(spark: SparkSession) -> str:
+    top = spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/lakeloom-checkpoints-{spark.sparkContext.applicationId}"
+    return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
+
+
+@query("stream_ingest", """SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_name, CASE WHEN customer_id % 2 = 0 THEN segment END AS segment, region FROM customers WHERE customer_id % 3 <> 2""")
+def stream_ingest(spark, sf_dir):
+    """Two landings, the second with its columns in another order and one missing, each read by one run of the stream."""
+    top = _folder(spark)
+    c = Entities(spark, sf_dir).customers.where("customer_id % 3 <> 2")
+    first = c.where("customer_id % 2 = 0").select(F.col("customer_id").alias("Customer ID"), F.col("customer_name").alias("Customer Name"), F.col("segment").alias("Segment"), F.col("region").alias("Region"))
+    second = c.where("customer_id % 2 = 1").select(F.col("region").alias("Region"), F.col("customer_name").alias("Customer Name"), F.col("customer_id").alias("Customer ID"))
+    for i, rows in enumerate((first, second)):
+        rows.write.mode("append").option("header", True).csv(f"{top}/landing")
+        ingest.ingest(spark, f"{top}/landing", f"{top}/raw", f"{top}/check", {}, f"run{i}", datetime.datetime(2024, 1, 1 + i))
+    return ingest.raw_table(spark, f"{top}/raw").select("customer_id", "customer_name", "segment", "region")
+
+
+def _silver(spark, sf_dir) -> TableStore:
+    store, at = TableStore(spark, _folder(spark)), datetime.datetime(2024, 1, 1)
+    store.replace("bronze", "orders", raw_orders(Entities(spark, sf_dir)).withColumn("bronze_ingestion_ts", F.lit(at)))
+    medallion.silver(store, ORDER_RULES, scans.RunConfig.of({}), "run", at)
+    return store
+
+
+@query("silver_orders", f""", {_ASSESSED} SELECT order_id, customer_id, od AS order_date, CAST(ship_date AS DATE) AS ship_date, ship_mode FROM named WHERE len(errors) = 0""")
+def silver_orders(spark, sf_dir):
+    return _silver(spark, sf_dir).read("silver", "orders").select("order_id", "customer_id", "order_date", "ship_date", "ship_mode")
+
+
+@query("silver_reconciled", f""", {_ASSESSED} SELECT 'orders' AS entity, count(*) AS bronze_rows, count(*) FILTER (len(errors) = 0) AS silver_rows, count(*) FILTER (len(errors) > 0) AS quarantine_rows, CAST(0 AS BIGINT) AS audit_rows,
+    CAST(0 AS BIGINT) AS superseded_rows, count(*) AS accounted_rows, true AS balanced FROM named""")
+def silver_reconciled(spark, sf_dir):
+    return medallion.reconcile(_silver(spark, sf_dir), ORDER_RULES)
+
+
 # --- Observation ------------------------------------------------------------------------------------------------------------
 
 
