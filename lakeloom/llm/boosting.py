@@ -8,7 +8,7 @@ import numpy as np
 class Trees:
     """Complete binary trees of one depth: feature and threshold by inner node, value by leaf."""
 
-    def __init__(self, n_trees: int = 80, depth: int = 4, rate: float = 0.2, bins: int = 48, ridge: float = 1.0, least: float = 1.0):
+    def __init__(self, n_trees: int = 100, depth: int = 5, rate: float = 0.2, bins: int = 48, ridge: float = 1.0, least: float = 0.3):
         self.n_trees, self.depth, self.rate, self.bins, self.ridge, self.least = n_trees, depth, rate, bins, ridge, least
         self.base, self.trees = 0.0, []
 

@@ -27,7 +27,7 @@ from lakeloom.llm.boosting import Trees
 from lakeloom.llm.common import ship
 from lakeloom.llm.html_pages import Page
 
-TRAIN_PAGES = 400
+TRAIN_PAGES = 600
 #: Characters of html whose nodes are scored together.
 GROUP_CHARS = 2 << 20
 

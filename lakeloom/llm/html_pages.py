@@ -42,7 +42,7 @@ class Page:
         return out.upper() if style == "loud" else out
 
     def name(self, kind: str) -> str:
-        n = self.r.choice(_JUNK[kind])
+        n = self.r.choice(_JUNK.get(kind, ["box"]))
         return self.r.choice([f' class="{n}"', f' id="{n}"', f' class="{self.word()} {n}"', f" class='{n} {self.word()}'"])
 
     def keep(self, text: str) -> str:
@@ -87,11 +87,27 @@ class Page:
         if kind == "comments":
             body = "".join(f"<{(t := r.choice(['div', 'li', 'article']))} class='{r.choice(['comment', 'reply', 'comment-body'])}'>{r.choice(['', f'<b>{self.word()}</b> ', f'<h4>{self.word()}</h4>'])}<p>{self.prose(r.randint(1, 4))}</p></{t}>" for _ in range(r.randint(1, 5)))
             return f"<{(t := r.choice(['section', 'div', 'ol']))}{self.name('comments')}>{r.choice(['', f'<h2>{self.words(1, 2)}</h2>'])}{body}</{t}>"
+        if kind == "hidden":
+            how = r.choice(["hidden", 'style="display:none"', 'aria-hidden="true"', "style='visibility: hidden'"])
+            return f"<div {how}><p>{self.prose(r.randint(1, 3))}</p></div>"
         if kind == "share":
             return f"<div{self.name('share')}>" + " ".join(f'<a href="#">{self.word()}</a>' for _ in range(r.randint(2, 5))) + "</div>"
         fields = "".join(f"<label>{self.word()}</label><input name={self.word()}>" for _ in range(r.randint(1, 3)))
         return f"<form{a}>{r.choice(['', f'<p>{self.prose(1)}</p>'])}{fields}<button>{self.word()}</button></form>"
 
+    def special(self) -> str:
+        """Tables, figures, definitions and preformatted text inside the main text."""
+        r = self.r
+        kind = r.random()
+        if kind < 0.35:
+            rows = "".join("<tr>" + "".join(f"<td>{self.keep(self.words(1, 4))}</td>" for _ in range(r.randint(1, 3))) + "</tr>" for _ in range(r.randint(1, 4)))
+            return f"<table>{rows}</table>"
+        if kind < 0.6:
+            return f"<figure><img src=/x.png><figcaption>{self.keep(self.words(3, 12))}</figcaption></figure>"
+        if kind < 0.8:
+            return f"<pre>{self.keep(self.words(2, 20))}</pre>"
+        return "<dl>" + "".join(f"<dt>{self.keep(self.words(1, 3))}</dt><dd>{self.keep(self.prose(1))}</dd>" for _ in range(r.randint(1, 3))) + "</dl>"
+
     def main(self) -> str:
         r = self.r
         self.style = r.choice(["plain"] * 6 + ["marks", "loud"])
@@ -106,12 +122,14 @@ class Page:
                 parts.append(f"<h2>{self.keep(self.words(1, 6).capitalize())}</h2>" + self.para())
             elif kind < 0.88:
                 parts.append("<ul>" + "".join(f"<li>{self.keep(self.prose(1))}</li>" for _ in range(r.randint(2, 5))) + "</ul>")
-            elif kind < 0.92:
+            elif kind < 0.90:
                 parts.append(f"<blockquote><p>{self.keep(self.prose(2))}</p></blockquote>")
+            elif kind < 0.94:
+                parts.append(self.special())
             else:
-                parts.append(self.junk(r.choice(["ad", "ad", "share", "side", "form"])))
+                parts.append(self.junk(r.choice(["ad", "ad", "share", "side", "form", "notice", "hidden", "footer", "nav"])))
         if r.random() < 0.15:
-            parts.append(self.junk(r.choice(["share", "comments", "ad"])))
+            parts.append(self.junk(r.choice(["share", "comments", "ad", "footer"])))
         text = "".join(parts)
         n = r.choice(_CONTENT_NAMES)
         name = r.choice([f' class="{n}"', f' id="{n}"', ""])
@@ -127,7 +145,7 @@ class Page:
     def page(self) -> str:
         r = self.r
         self.style = "plain"
-        before = [self.junk(k) for k in r.sample(["header", "nav", "nav", "ad", "notice", "side"], r.randint(0, 4))]
+        before = [self.junk(k) for k in r.sample(["header", "nav", "nav", "ad", "notice", "side", "hidden"], r.randint(0, 4))]
         after = [f"<div>{j}</div>" if r.random() < 0.1 else j for j in (self.junk(k) for k in r.sample(["footer", "footer", "side", "comments", "notice", "ad", "form", "share"], r.randint(0, 5)))]
         main = self.main()
         self.style = "plain"
