@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass takes; the working arrays are about ten times as large.
 PIECE_BYTES = 1 << 20
@@ -38,6 +40,31 @@ def cut(df: DataFrame, top: str, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """`name`, lengthened until no column of `df` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """The columns of `df` by quoted name, for use after a join with unused names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
+def keep_rows(df: DataFrame, column: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
+    """The rows whose value of `column` passes `keep` (flags for a batch), with all columns, whatever their names."""
+    at = df.columns.index(column)
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(keep(b.column(at)), pa.bool_()))
+
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    return plain.mapInArrow(rows, plain.schema).toDF(*df.columns)
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a folder of a superseded table through Hadoop's file system, whatever store it is in."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import LOWER, buffer_of, hashes_in_pieces, mix, pieces, ship, word_spans
+from lakeloom.llm.common import LOWER, buffer_of, hashes_in_pieces, keep_rows, mix, pieces, ship, word_spans
 
 #: Words of benchmark items in one broadcast block; about 100 bytes of tables a word.
 BLOCK_WORDS = 500_000
@@ -219,16 +219,9 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, t
     """The rows of `docs` in whose text no window of the benchmark occurs, with all their columns; nothing is shuffled."""
     spark = docs.sparkSession
     ship(spark)
-    at = docs.columns.index(text_col)
     for tables in blocks(benchmark, window, item_col, item_text_col):
         shared = spark.sparkContext.broadcast(tables)
-
-        def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                _, n_hit, _, _ = search_batch(b.column(at), shared.value)
-                yield b.filter(pa.array(n_hit == 0))
-
-        docs = docs.mapInArrow(keep, docs.schema)
+        docs = keep_rows(docs, text_col, lambda c, shared=shared: search_batch(c, shared.value)[1] == 0)
     return docs
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from lakeloom.llm.common import cut, shared_dir
+from lakeloom.llm.common import cut, own_columns, shared_dir, unused
 
 #: Documents of one size that are ranked in one task (or a thousandth of all), Newton steps at most, relative error of the dual, single copies moved.
 PART, STEPS, CLOSE, MOVES = 1000, 40, 1e-7, 12
@@ -164,8 +164,9 @@ def mix_counts(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str
 def mix(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str | None, float]] = cyclic, share: float = 1.5, most: int = 2, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
     """The rows of `docs`, each as often as the mix takes it; rows that share an id are taken alike."""
     p = plan(docs, weigh, share, most, id_col, source_col, text_col)
-    copies = p.groupBy(F.col("_id").alias("_taken")).agg(F.min("_copies").alias("_copies")).where("_copies > 0")
+    key, number = unused("_taken", docs), unused("_copies", docs)
+    copies = p.groupBy(F.col("_id").alias(key)).agg(F.min("_copies").alias(number)).where(F.col(number) > 0)
     copies = cut(copies, shared_dir(docs.sparkSession), "copies")
     # The taken ids grow with the documents: always a shuffle (hash tables of ids, no sort of the texts), never a broadcast.
-    rows = docs.join(copies.hint("shuffle_hash"), docs[id_col].eqNullSafe(copies["_taken"]))
-    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(docs.columns)
+    rows = docs.join(copies.hint("shuffle_hash"), docs[id_col].eqNullSafe(copies[key]))
+    return rows.select(*own_columns(docs), F.explode(F.sequence(F.lit(1), F.col(number))).alias(unused("_copy", docs))).select(own_columns(docs))

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import buffer_of, hashes_in_pieces, mix, pieces, ship, word_spans
+from lakeloom.llm.common import buffer_of, hashes_in_pieces, keep_rows, mix, pieces, ship, word_spans
 
 #: Documents that train the scorer; hash buckets of byte grams and of class grams; steps that a measured share is divided into.
 TRAIN_DOCS, BYTE_BUCKETS, CLASS_BUCKETS = 1500, 4096, 1024
@@ -238,10 +238,4 @@ def score_quality(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", t
 def drop_junk(docs: DataFrame, least: float = 0.5, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of `docs` that the scorer keeps, with all their columns; only the fit's counts and sample are gathered."""
     model = docs.sparkSession.sparkContext.broadcast(fit(docs, id_col, text_col))
-    at = docs.columns.index(text_col)
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield b.filter(pa.array(model.value.score(b.column(at))[1] >= least))
-
-    return docs.mapInArrow(keep, docs.schema)
+    return keep_rows(docs, text_col, lambda c: model.value.score(c)[1] >= least)

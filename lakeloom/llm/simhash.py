@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import cut, drop_path, ship, shared_dir, texts
+from lakeloom.llm.common import cut, drop_path, own_columns, ship, shared_dir, texts, unused
 
 #: Fingerprints of one (segment, value) that a task compares at once; at most two such chunks meet.
 CHUNK = 4096
@@ -215,11 +215,12 @@ def keep_first(docs: DataFrame, max_bits: int = 4, k: int = 4, seed: int = 42, i
     """The rows of `docs`, with all their columns, that have the smallest id of their component; of repeated ids one row stays."""
     spark = docs.sparkSession
     near = near_duplicates(docs, max_bits, k, seed, id_col, text_col)
-    kept = near.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias("_kept")).agg(F.count("*").alias("_rows"))
+    key, rows = unused("_kept", docs), unused("_rows", docs)
+    kept = near.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias(key)).agg(F.count("*").alias(rows))
     kept = cut(kept, shared_dir(spark), "kept")
     # The kept ids grow with the documents: always a shuffle (hash tables of ids, no sort of the texts), never a broadcast.
-    rows = docs.join(kept.hint("shuffle_hash"), docs[id_col].eqNullSafe(kept["_kept"]))
-    once = rows.where("_rows = 1").select(docs.columns)
-    if kept.where("_rows > 1").isEmpty():
+    joined = docs.join(kept.hint("shuffle_hash"), docs[id_col].eqNullSafe(kept[key]))
+    once = joined.where(F.col(rows) == 1).select(own_columns(docs))
+    if kept.where(F.col(rows) > 1).isEmpty():
         return once
-    return once.unionByName(rows.where("_rows > 1").select(docs.columns).dropDuplicates([id_col]))
+    return once.unionByName(joined.where(F.col(rows) > 1).select(own_columns(docs)).dropDuplicates([id_col]))

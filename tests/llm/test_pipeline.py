@@ -50,3 +50,25 @@ def test_stages_equal_brute_force(spark, sf_dir):
 def test_run_returns_the_last_stage(spark, sf_dir):
     out = corpus_pipeline.run(spark, sf_dir)
     assert out.columns == ["doc_id", "start", "n_tokens", "ids_crc32"] and out.count() > 0
+
+
+def test_stages_take_odd_documents(spark, sf_dir):
+    prose = "This is an ordinary sentence, with some words. Another one follows it, and says a bit more. " * 3
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _kept string, _rows int, _copies int, `a.b` string, _id string, fingerprint string"
+    tail = ("k", 1, 2, "dot", "id", "print")
+    rows = [(i, f"{prose} Number {i} of these texts has {i * 7919} at its end. " + " ".join(f"w{i}x{j}" for j in range(40)), "en", f"s{i % 3}", 1, *tail) for i in range(40)]
+    rows += [rows[3], rows[3], (100, *rows[5][1:]), (None, None, None, None, None, *[None] * 6), (101, "", "en", "s0", 0, *tail), (102, "word " * 60_000 + prose, None, None, 1, *tail)]
+    docs = spark.createDataFrame(rows, schema)
+    for empty in (False, True):
+        at = docs.limit(0) if empty else docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            out = stage(spark, at, sf_dir)
+            assert out.schema.simpleString() == docs.schema.simpleString(), name
+            held = out.collect()
+            assert bool(held) != empty
+            if name == "near_duplicates" and not empty:
+                ids = [r["doc_id"] for r in held]
+                assert ids.count(3) == 1 and 100 not in ids and len(set(ids)) == len(ids)
+            at = spark.createDataFrame(held, docs.schema)
+        last = corpus_pipeline.STAGES[-1][1](spark, at, sf_dir)
+        assert last.count() == at.count()
