@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass takes; the working arrays are about ten times as large.
 PIECE_BYTES = 1 << 20
+#: Bytes of an Arrow batch between Spark and Python (a longer row is a batch of its own). It is held on both sides.
+BATCH_BYTES = 8 << 20
 
 _U64 = np.uint64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -20,7 +22,8 @@ _BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def ship(spark: SparkSession) -> None:
-    """Let Python workers import this package wherever the driver runs from."""
+    """Let Python workers import this package wherever the driver runs from, and bound the Arrow batches that they get."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root = str(Path(__file__).resolve().parents[2])
     env = spark.sparkContext.environment
     if root not in env.get("PYTHONPATH", "").split(":"):
