@@ -33,7 +33,8 @@ SPELLINGS = [
     (" ver ", " version "),
     (" v ", " version "),
 ]
-COPYRIGHT_LINE = r"(?i)^[^\p{L}\p{N}(©]*(copyright|©|\(c\)|all rights reserved)"
+#: A line wrapped before "copyright notice", "copyright holders" or the like is text of the licence.
+COPYRIGHT_LINE = r"(?i)^[^\p{L}\p{N}(©]*(copyright(?!\s+(?:notices?|holders?|owners?)\b)|©|\(c\)|all rights reserved)"
 
 _DISCLAIMER = """
 THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
@@ -134,7 +135,7 @@ def canonical_text(text: str | None) -> str:
     """The canonical form of an entire text in plain Python, for tests and the SQL statement of known texts."""
     out = []
     for line in (text or "").split("\n"):
-        if re.match(r"(?i)[^\w(©]*(copyright|©|\(c\)|all rights reserved)", line):
+        if re.match(r"(?i)[^\w(©]*(copyright(?!\s+(?:notices?|holders?|owners?)\b)|©|\(c\)|all rights reserved)", line):
             continue
         words = " " + re.sub(r"[\W_]+", " ", line.lower()).strip() + " "
         for a, b in SPELLINGS:

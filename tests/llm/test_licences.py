@@ -28,3 +28,17 @@ def test_scan_matches_plain_python(spark):
 
 def test_empty_table(spark):
     assert li.scan_licences(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_whole_licences_are_found_wherever_they_are_wrapped(spark):
+    import textwrap
+
+    full = [(n, t) for n, t in li.KNOWN if len(t) > 500]
+    rows, want = [], []
+    for name, text in full:
+        for width in range(40, 100):
+            rows.append((len(rows), "Copyright (c) 2020 Ann Author\nCopyright 2021, Copyright Holders Ltd\n" + textwrap.fill(" ".join(text.split()), width, break_on_hyphens=False, break_long_words=False)))
+            want.append(name)
+    assert any("\ncopyright notice" in t for _, t in rows) and any("\nCOPYRIGHT HOLDER" in t for _, t in rows)
+    got = {r["doc_id"]: r["whole_licence"] for r in li.scan_licences(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert [got[i] for i in range(len(rows))] == want
