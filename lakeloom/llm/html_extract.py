@@ -39,7 +39,9 @@ _TOKEN = re.compile(
 )
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[a-z]+")
-_RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "svg", "math", "select", "xmp", "noframes"}
+_RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "select", "xmp", "noframes"}
+#: Skipped as well, but these can close themselves and nest.
+_FOREIGN = {"svg", "math"}
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set("a abbr acronym b bdi bdo big br button cite code data del dfn em font i img input ins kbd label mark meter nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: An opening tag of the key closes an open tag of the values first.
@@ -99,6 +101,26 @@ def names_of(attributes: str) -> int:
     return bits
 
 
+def closes_itself(attributes: str) -> bool:
+    """Whether a tag ends in a slash that is not part of an unquoted value."""
+    return attributes.endswith("/") and not re.search(r"=\s*[^\s\"']*/\Z", attributes)
+
+
+def foreign_end(html: str, at: int, tag: str, attributes: str) -> int:
+    """Where the svg or math ends whose opening tag ends at `at`: after its own end tag, the last one if some are missing, or with the page."""
+    if closes_itself(attributes):
+        return at
+    depth, last = 1, len(html)
+    while depth and (m := _TOKEN.search(html, at)):
+        at = m.end()
+        if (m[2] or "").lower() == tag:
+            if m[1]:
+                depth, last = depth - 1, at
+            elif not closes_itself(m[3]):
+                depth += 1
+    return last
+
+
 def parse(html: str) -> Dom:
     """Block elements and text runs of a page."""
     dom, at = Dom(), 0
@@ -160,6 +182,10 @@ def parse(html: str) -> Dom:
                 if open_[i][2] and tag in _INLINE:
                     break
             continue
+        if tag in _FOREIGN:
+            at = foreign_end(html, at, tag, m[3])
+            run.append(" ")
+            continue
         if tag in _RAW:
             end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(html, at)
             at = html.find(">", end.start()) + 1 if end else size

@@ -63,3 +63,12 @@ def test_nulls_repeats_clashes_and_empty(spark):
     want = (LONG * 2).strip()
     assert got == [("1", want, len(want)), ("1", want, len(want)), ("2", "", 0), ("None", "", 0)]
     assert h.extract_text(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("icon", ['<svg class="i" viewBox="0 0 1 1"/>', "<svg/>", "<MATH a=b />", "<svg><svg x='1'><path d='M0'/></svg>icon<svg/></svg>", "<svg><use href=/a/></svg>", "<svg a=/b/>icon</svg>"])
+def test_icons_take_no_text_with_them(icon):
+    page = "<html><body><nav><a href='/'>{0}Home</a></nav><article><p>%s</p><p>Second. {0}%s</p><p>Third. %s</p></article>{0}<footer>x<svg>icon</svg></footer></body></html>" % (LONG, LONG, LONG)
+    runs = lambda i: [t for t in h.parse(page.format(i)).text if t]
+    assert runs(icon) == runs("")
+    assert text_of(page.format(icon)) == text_of(page.format(""))
+    assert text_of(page.format(icon)).count("Plain words") == 3
