@@ -212,15 +212,14 @@ def near_duplicates(docs: DataFrame, max_bits: int = 4, k: int = 4, seed: int =
 
 
 def keep_first(docs: DataFrame, max_bits: int = 4, k: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, with all their columns, that have the smallest id of their component; of repeated ids one row stays."""
+    """The first row of each component, by id, then by row, with all columns of `docs`; a null id comes last. Rows that share an id, or have none, are documents of their own."""
     spark = docs.sparkSession
-    near = near_duplicates(docs, max_bits, k, seed, id_col, text_col)
-    key, rows = unused("_kept", docs), unused("_rows", docs)
-    kept = near.where(F.col(id_col).eqNullSafe(F.col("component_id"))).groupBy(F.col(id_col).alias(key)).agg(F.count("*").alias(rows))
-    kept = cut(kept, shared_dir(spark), "kept")
-    # The kept ids grow with the documents: always a shuffle (hash tables of ids, no sort of the texts), never a broadcast.
-    joined = docs.join(kept.hint("shuffle_hash"), docs[id_col].eqNullSafe(kept[key]))
-    once = joined.where(F.col(rows) == 1).select(own_columns(docs))
-    if kept.where(F.col(rows) > 1).isEmpty():
-        return once
-    return once.unionByName(joined.where(F.col(rows) > 1).select(own_columns(docs)).dropDuplicates([id_col]))
+    top, row, key = shared_dir(spark), unused("_row", docs), unused("_kept", docs)
+    # A row's number must not change when the table is read again.
+    rows = cut(docs.select("*", F.monotonically_increasing_id().alias(row)), top, "rows")
+    at = dict(zip(rows.columns, own_columns(rows), strict=True))
+    place = F.struct(at[id_col].isNull().alias("_null"), at[id_col].alias("_id"), at[row].alias("_row"))
+    near = near_duplicates(rows.select(place.alias("_place"), at[text_col].alias("_text")), max_bits, k, seed, "_place", "_text")
+    kept = cut(near.where("_place._row = component_id._row").select(F.col("_place._row").alias(key)), top, "kept")
+    # The kept rows grow with the documents: always a shuffle (hash tables of numbers, no sort of the texts), never a broadcast.
+    return rows.join(kept.hint("shuffle_hash"), at[row] == F.col(key), "left_semi").select(own_columns(docs))

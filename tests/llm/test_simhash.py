@@ -93,3 +93,13 @@ def test_empty_table_and_repeated_rows(spark):
     kept = simhash.keep_first(df)
     assert kept.columns == df.columns
     assert sorted((r["doc_id"] or -1) for r in kept.collect()) == [-1, 1]
+
+
+def test_keep_first_keeps_unrelated_rows_of_null_or_repeated_ids(spark):
+    far = {c: " ".join(f"{c}{i}" for i in range(40)) for c in "abcdef"}
+    rows = [(None, far["a"], "x", 1, "p"), (None, far["b"], "x", 2, "p"), (None, far["b"], "x", 3, "p"), (7, far["c"], "x", 4, "p"), (7, far["d"], "x", 5, "p")]
+    # Of two texts under id 9 one is a copy of id 8's.
+    rows += [(8, far["e"], "x", 6, "p"), (9, far["e"].upper(), "x", 7, "p"), (9, far["f"], "x", 8, "p")]
+    kept = simhash.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert [r["b"] for r in sorted(kept, key=lambda r: r["b"]) if r["b"] not in (2, 3)] == [1, 4, 5, 6, 8]
+    assert sum(r["text"] == far["b"] for r in kept) == 1
