@@ -18,7 +18,6 @@ BATCH_BYTES = 8 << 20
 
 _U64 = np.uint64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
-_BASE_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def ship(spark: SparkSession) -> None:
@@ -31,8 +30,12 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder under spark.checkpoint.dir, which all executors share; a local one only where the setting is unset."""
-    top = spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/lakeloom-checkpoints-{spark.sparkContext.applicationId}"
+    """A new folder under spark.checkpoint.dir, which all executors share. A local master may do without the setting; others may not."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        top = f"file:///tmp/lakeloom-checkpoints-{spark.sparkContext.applicationId}"
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
 
 
@@ -116,21 +119,6 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray, is_word: np.ndarray) -> tup
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-_powers = np.empty(0, np.uint64), np.empty(0, np.uint64)
-
-
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers 0 to n - 1 of the hash base and of its inverse modulo 2**64."""
-    global _powers
-    if len(_powers[0]) < n:
-        n = max(n, PIECE_BYTES + 1)
-        one = np.full(n, _BASE), np.full(n, _BASE_INVERSE)
-        for x in one:
-            x[0] = 1
-        _powers = np.cumprod(one[0]), np.cumprod(one[1])
-    return _powers[0][:n], _powers[1][:n]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values (a bijection)."""
     h = (h ^ (h >> _U64(30))) * _U64(0xBF58476D1CE4E5B9)
@@ -138,25 +126,52 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U64(31))
 
 
+def _byte_hashes(raw: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return mix((place.astype(np.uint64) << _U64(8)) + raw.astype(np.uint64) + _BASE)
+
+
 def span_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit polynomial hash of each span of `raw`, the same for equal bytes wherever they stand."""
-    if not len(starts):
-        return np.empty(0, np.uint64)
-    up, down = powers(len(raw) + 1)
-    total = np.empty(len(raw) + 1, np.uint64)
-    total[0] = 0
-    np.cumsum((raw.astype(np.uint64) + _U64(1)) * up[: len(raw)], out=total[1:])
-    return mix((total[ends] - total[starts]) * down[starts])
-
-
-def hashes_in_pieces(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """`span_hashes` of ascending spans, a piece of `raw` at a time, so that one huge text needs no huge arrays."""
+    """64-bit hash of each of the ascending, disjoint spans of `raw`, the same for equal bytes wherever they stand.
+
+    Each (place in the span, byte) goes through a mixing function before the sum, so texts of a regular build do not clash as they do
+    under a polynomial. Callers that need exact results compare the bytes. A piece of `raw` is worked on at a time.
+    """
     out = np.empty(len(starts), np.uint64)
+    n = (ends - starts).astype(np.int64)
     i = 0
     while i < len(starts):
+        if n[i] > PIECE_BYTES:
+            total = _U64(0)
+            for at in range(0, int(n[i]), PIECE_BYTES):
+                part = raw[starts[i] + at : min(starts[i] + at + PIECE_BYTES, ends[i])]
+                total = _byte_hashes(part, np.arange(at, at + len(part))).sum(dtype=np.uint64) + total
+            out[i] = total
+            i += 1
+            continue
         j = max(i + 1, int(np.searchsorted(starts, starts[i] + PIECE_BYTES)))
-        lo, hi = starts[i], ends[j - 1]
-        out[i:j] = span_hashes(raw[lo:hi], starts[i:j] - lo, ends[i:j] - lo)
+        j = i + int(np.argmax(n[i:j] > PIECE_BYTES)) if (n[i:j] > PIECE_BYTES).any() else j
+        size = n[i:j]
+        stop = np.cumsum(size)
+        place = np.arange(stop[-1]) - np.repeat(stop - size, size)
+        total = np.zeros(int(stop[-1]) + 1, np.uint64)
+        np.cumsum(_byte_hashes(raw[place + np.repeat(starts[i:j], size)], place), out=total[1:])
+        out[i:j] = total[stop] - total[stop - size]
+        i = j
+    return mix(out)
+
+
+def same_spans(raw: np.ndarray, starts: np.ndarray, other: np.ndarray, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether raw[starts[i]:starts[i] + n[i]] equals other[at[i]:at[i] + n[i]], byte by byte, a piece at a time."""
+    out = np.ones(len(n), bool)
+    stop = np.cumsum(n)
+    i = 0
+    while i < len(n):
+        j = max(i + 1, int(np.searchsorted(stop, (stop[i - 1] if i else 0) + PIECE_BYTES, "right")))
+        size = n[i:j]
+        end = np.cumsum(size)
+        step = np.arange(end[-1]) - np.repeat(end - size, size)
+        differ = raw[step + np.repeat(starts[i:j], size)] != other[step + np.repeat(at[i:j], size)]
+        out[i + np.searchsorted(end, np.flatnonzero(differ), "right")] = False
         i = j
     return out
 

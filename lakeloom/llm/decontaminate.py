@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import LOWER, buffer_of, hashes_in_pieces, keep_rows, mix, pieces, ship, word_spans
+from lakeloom.llm.common import LOWER, buffer_of, span_hashes, keep_rows, mix, pieces, ship, word_spans
 
 #: Words of benchmark items in one broadcast block; about 100 bytes of tables a word.
 BLOCK_WORDS = 500_000
@@ -42,7 +42,7 @@ _STEP = np.uint64(0xD1342543DE82EF95)
 def words_of(raw: np.ndarray, offsets: np.ndarray):
     """(starts, ends, word hashes, words before each row) of lower-cased bytes."""
     starts, ends, before = word_spans(raw, offsets, WORD_BYTES)
-    return starts, ends, hashes_in_pieces(raw, starts, ends), before
+    return starts, ends, span_hashes(raw, starts, ends), before
 
 
 def chain(hashes: np.ndarray, last: np.ndarray, n: int) -> np.ndarray:

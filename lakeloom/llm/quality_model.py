@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import buffer_of, hashes_in_pieces, keep_rows, mix, pieces, ship, word_spans
+from lakeloom.llm.common import buffer_of, span_hashes, keep_rows, mix, pieces, ship, word_spans
 
 #: Documents that train the scorer; hash buckets of byte grams and of class grams; steps that a measured share is divided into.
 TRAIN_DOCS, BYTE_BUCKETS, CLASS_BUCKETS = 1500, 4096, 1024
@@ -68,7 +68,7 @@ def votes_of(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
     ended = (marks == 1) & np.isin(last, list(b".,!?;:"))
     stops = word_sum(ended)
     plain = word_sum(((marks == 0) | ended) & (capitals <= 1) & (length > marks))
-    hashes = hashes_in_pieces(raw, starts, ends)
+    hashes = span_hashes(raw, starts, ends)
     row = np.repeat(np.arange(len(n)), n)
     repeated = np.zeros(len(n), np.int64)
     if len(hashes) > 2:

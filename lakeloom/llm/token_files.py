@@ -1,17 +1,18 @@
 """Token ids in files: canonical length-limited Huffman coding from global counts.
 
-`write_tokens` sorts the documents by id, encodes each text, counts all ids, derives one code (package-merge, at most
-`LONGEST` bits) and writes two tables under a path: `code` (id, length: the canonical code follows from these) and `blocks`.
+`write_tokens` encodes each text, counts all ids, derives one code (package-merge, at most `LONGEST` bits), sorts the documents'
+ids by document and writes two tables under a path: `code` (id, length: the canonical code follows from these) and `blocks`.
 A block holds whole consecutive documents: their ids and lengths, the code bits, and the bit offset of every `EVERY`-th id,
 so each block, and each stretch between checkpoints, decodes on its own. `read_tokens` decodes by table: all stretches of a
 batch advance together, one table look-up an id.
 
 Encoding is the library's own. A text is cut at some of the places where the byte-level pattern always begins a new
-word (`cuts`), and each distinct chunk (told apart by 64-bit hashes) is encoded once while it is remembered; a tokenizer
-of another build gets whole texts.
+word (`cuts`), and each distinct short chunk is encoded once while it is remembered: chunks are looked up by hash and their bytes are
+compared on every hit, so the ids are always those of the library. A tokenizer of another build gets whole texts.
 
-Defined results: a null text has only the end id; repeated documents are each written (ties of the id go by the hash of the
-text); null ids come first; an empty table has an empty file; only the id and text columns are read.
+Defined results: a null or empty text has only the end id; repeated documents are each written (ties of the id go by the hash of the
+text); null ids come first; an empty table has an empty file; only the id and text columns are read, so other columns never clash.
+A very long text is encoded a piece at a time and is one block of its own.
 """
 
 from __future__ import annotations
@@ -29,10 +30,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import buffer_of, hashes_in_pieces, pieces, ship
+from lakeloom.llm.common import buffer_of, drop_path, pieces, same_spans, ship, span_hashes
 
-#: Longest code in bits; ids between two checkpoints; ids of a block, save for longer documents; remembered chunks.
-LONGEST, EVERY, BLOCK_IDS, REMEMBERED = 20, 128, 1 << 16, 1_500_000
+#: Longest code in bits; ids between two checkpoints; ids of a block, save for longer documents; remembered chunks, and bytes of each at most.
+LONGEST, EVERY, BLOCK_IDS, REMEMBERED, SHORT = 20, 128, 1 << 16, 500_000, 64
 
 #: Bytes that surely end a character other than white space (of the others, some end a Unicode space).
 _NO_SPACE = np.zeros(256, bool)
@@ -91,10 +92,11 @@ class Encoder:
 
     def forget(self) -> None:
         #: Hashes of the remembered chunks in ascending order with each one's number, in two parts: the second takes new ones until it is
-        #: large enough to be merged. By number, the end of the ids in the store, which grows by doubling.
+        #: large enough to be merged. By number, the ends of the chunk's bytes and of its ids in their stores, which grow by doubling.
         self.parts = [(np.empty(0, np.uint64), np.empty(0, np.int64))] * 2
-        self.count, self.ends = 0, np.zeros(1 << 12, np.int64)
-        self.store = np.empty(1 << 14, np.int32)
+        self.count = 0
+        self.ends, self.byte_ends = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
+        self.store, self.bytes = np.empty(1 << 14, np.int32), np.empty(1 << 16, np.uint8)
 
     def number_of(self, hashes: np.ndarray) -> np.ndarray:
         """Numbers of ascending hashes, -1 where unknown."""
@@ -106,16 +108,30 @@ class Encoder:
                 out[known] = number[at[known]]
         return out
 
-    def remember(self, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Add ascending hashes with their ids, which are stored in another order; the new numbers."""
-        first, used = self.count, int(self.ends[self.count])
-        self.count += len(hashes)
-        while len(self.ends) <= self.count:
-            self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
-        while len(self.store) < used + len(ids):
+    def reserve(self, ids: int, size: int) -> None:
+        """Room for so many more ids and bytes."""
+        while len(self.store) < self.ends[self.count] + ids:
             self.store = np.concatenate([self.store, np.empty_like(self.store)])
+        while len(self.bytes) < self.byte_ends[self.count] + size:
+            self.bytes = np.concatenate([self.bytes, np.empty_like(self.bytes)])
+
+    def remember(self, hashes: np.ndarray, raw: np.ndarray, starts: np.ndarray, n: np.ndarray, ids: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Add chunks by ascending hash, with their bytes and ids; ids are in another order. The new numbers."""
+        first = self.count
+        self.reserve(len(ids), int(n.sum()))
+        used, byte = int(self.ends[first]), int(self.byte_ends[first])
+        while len(self.ends) <= first + len(hashes):
+            self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
+            self.byte_ends = np.concatenate([self.byte_ends, np.empty_like(self.byte_ends)])
+        order = np.empty(len(place), np.int64)
+        order[place] = np.arange(len(place))
+        starts, n = starts[order], n[order]
+        stop = np.cumsum(n)
+        self.count += len(hashes)
         self.ends[first + 1 : self.count + 1] = used + np.cumsum(sizes)
+        self.byte_ends[first + 1 : self.count + 1] = byte + stop
         self.store[used : used + len(ids)] = ids
+        self.bytes[byte : byte + stop[-1]] = raw[np.arange(stop[-1]) + np.repeat(starts - stop + n, n)]
         old, new = self.parts
         new = _merged(new, (hashes, first + place))
         self.parts = [_merged(old, new), (np.empty(0, np.uint64), np.empty(0, np.int64))] if 16 * len(new[0]) > len(old[0]) + (1 << 16) else [old, new]
@@ -150,20 +166,43 @@ class Encoder:
         place[np.argsort(~np.array(simple, bool), kind="stable")] = np.arange(len(chunks))
         return ids, sizes, place
 
+    def _numbers(self, raw: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Number of each short chunk, remembered now if it was not; -1 for one whose hash is that of other bytes."""
+        hashes, where, chunk = np.unique(span_hashes(raw, starts, starts + n), return_index=True, return_inverse=True)
+        first, size = starts[where], n[where]
+        known = self.number_of(hashes)
+        old = np.flatnonzero(known >= 0)
+        at = self.byte_ends[known[old]]
+        equal = self.byte_ends[known[old] + 1] - at == size[old]
+        equal[equal] = same_spans(raw, first[old[equal]], self.bytes, at[equal], size[old[equal]])
+        new = np.flatnonzero(known < 0)
+        known[old[~equal]] = -1
+        if len(new):
+            text = [raw[a : a + m].tobytes().decode() for a, m in zip(first[new].tolist(), size[new].tolist(), strict=True)]
+            known[new] = self.remember(hashes[new], raw, first[new], size[new], *self._learn(text))
+        equal = n == size[chunk]
+        equal[equal] = same_spans(raw, starts[equal], raw, first[chunk[equal]], n[equal])
+        return np.where(equal, known[chunk], -1)
+
     def _piece(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         whole = raw.tobytes()
         starts = np.flatnonzero(cuts(raw, offsets, not any(t.encode() in whole for t in self.added)))
-        ends = np.append(starts[1:], len(raw))
+        n = np.append(starts[1:], len(raw)) - starts
         before = np.searchsorted(starts, offsets)
-        hashes, where, chunk = np.unique(hashes_in_pieces(raw, starts, ends), return_index=True, return_inverse=True)
         if self.count > REMEMBERED:
             self.forget()
-        number = self.number_of(hashes)
-        new = number < 0
-        if new.any():
-            number[new] = self.remember(hashes[new], *self._learn([whole[a:b].decode() for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)]))
-        number = number[chunk]
+        number = np.full(len(starts), -1, np.int64)
+        short = n <= SHORT
+        number[short] = self._numbers(raw, starts[short], n[short])
+        alone = np.flatnonzero(number < 0)
         start, sizes = self.ends[number], self.ends[number + 1] - self.ends[number]
+        if len(alone):  # encoded for this piece only, behind the remembered ids
+            made = [e.ids for e in self.model.encode_batch_fast([whole[a : a + m].decode() for a, m in zip(starts[alone].tolist(), n[alone].tolist(), strict=True)], add_special_tokens=False)]
+            sizes[alone] = [len(x) for x in made]
+            stop = np.cumsum(sizes[alone])
+            self.reserve(int(stop[-1]), 0)
+            start[alone] = used = self.ends[self.count] + stop - sizes[alone]
+            self.store[used[0] : used[0] + stop[-1]] = np.concatenate([np.array(x, np.int32) for x in made])
         stop = np.concatenate([[0], np.cumsum(sizes)])
         flat = self.store[np.repeat(start - stop[:-1], sizes) + np.arange(stop[-1])]
         return [flat[a:b] for a, b in zip(stop[before[:-1]], stop[before[1:]], strict=True)]
@@ -251,50 +290,34 @@ class Code:
 
 
 def write_tokens(docs: DataFrame, file: str, path: str, end_id: int = 0, id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Write the ids of all texts, each followed by `end_id`, in ascending order of the document id."""
+    """Write the ids of all texts, each followed by `end_id`, in ascending order of the document id.
+
+    Texts are encoded where they are read; their ids, in two bytes each where that is enough, are written once (`plain`, deleted at the
+    end), counted, and moved by range of the document id.
+    """
     spark = docs.sparkSession
     ship(spark)
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    schema = f"part int, block int, first long, doc_ids array<{kind}>, sizes array<int>, ids binary"
     rows = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("_text"))
-    keys = ["_id", F.xxhash64("_text")]
-    rows = rows.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions("_id", F.xxhash64("_text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, part, block, first = encoder(file), TaskContext.get().partitionId(), 0, 0
-        held: list[tuple[object, np.ndarray]] = []
-        size = 0
-        id_type = None
-
-        def close() -> pa.RecordBatch:
-            nonlocal block, first, size
-            made = [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([first], pa.int64()), pa.array([[i for i, _ in held]], pa.list_(id_type)), pa.array([[len(x) for _, x in held]], pa.list_(pa.int32())), pa.array([np.concatenate([x for _, x in held]).astype("<u4").tobytes()], pa.binary())]
-            block, first, size = block + 1, first + size, 0
-            held.clear()
-            return pa.RecordBatch.from_arrays(made, ["part", "block", "first", "doc_ids", "sizes", "ids"])
-
+        model = encoder(file)
         for b in batches:
-            id_type = b.column(0).type
             for at in range(0, b.num_rows, 512):
                 some = b.slice(at, 512)
-                for i, ids in zip(some.column(0).to_pylist(), model.encode(some.column(1)), strict=True):
-                    ids = np.append(ids, np.int32(end_id))
-                    if held and size + len(ids) > BLOCK_IDS:
-                        yield close()
-                    held.append((i, ids))
-                    size += len(ids)
-        if held:
-            yield close()
+                ids = [np.append(x, np.int32(end_id)) for x in model.encode(some.column(2))]
+                held = [x.astype("<u2" if x.max() < 1 << 16 else "<u4").tobytes() for x in ids]
+                yield pa.RecordBatch.from_arrays([some.column(0), some.column(1), pa.array(map(len, ids), pa.int32()), pa.array(held, pa.binary())], ["_id", "_h", "_n", "_ids"])
 
-    plain = rows.mapInArrow(encode, schema)
+    plain = rows.select("_id", F.xxhash64("_text").alias("_h"), "_text").mapInArrow(encode, f"_id {kind}, _h long, _n int, _ids binary")
     plain.write.option("compression", "zstd").mode("overwrite").parquet(f"{path}/plain")
     plain = spark.read.schema(plain.schema).parquet(f"{path}/plain")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column(0):
-                new = np.bincount(np.frombuffer(x.as_buffer(), "<u4"))
+            for n, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                new = np.bincount(_ids(x, n))
                 if len(new) > len(total):
                     new, total = total, new.astype(np.int64)
                 total[: len(new)] += new
@@ -302,23 +325,48 @@ def write_tokens(docs: DataFrame, file: str, path: str, end_id: int = 0, id_col:
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["id", "n"])
 
     # At most one row for each id of the vocabulary.
-    counted = plain.select("ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    counted = plain.select("_n", "_ids").mapInArrow(count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counted = counted.sort_values(["n", "id"])
     ids, lengths = counted["id"].to_numpy(np.int64), limited_lengths(counted["n"].to_numpy(np.int64), LONGEST)
     table = spark.createDataFrame([(int(i), int(n)) for i, n in zip(ids, lengths, strict=True)], "id int, length int")
     table.coalesce(1).write.mode("overwrite").parquet(f"{path}/code")
     code = spark.sparkContext.broadcast((ids, lengths))
+    names = ["part", "block", "first", "doc_ids", "sizes", "marks", "bits"]
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made = Code(*code.value)
+        made, part, block, first = Code(*code.value), TaskContext.get().partitionId(), 0, 0
+        held: list[tuple[object, np.ndarray]] = []
+        size = 0
+        id_type = None
+
+        def close() -> pa.RecordBatch:
+            nonlocal block, first, size
+            bits, marks = made.pack(np.concatenate([x for _, x in held]).astype(np.int64))
+            row = [pa.array([part], pa.int32()), pa.array([block], pa.int32()), pa.array([first], pa.int64()), pa.array([[i for i, _ in held]], pa.list_(id_type)), pa.array([[len(x) for _, x in held]], pa.list_(pa.int32())), pa.array([marks.astype("<u8").tobytes()], pa.binary()), pa.array([bits], pa.binary())]
+            block, first, size = block + 1, first + size, 0
+            held.clear()
+            return pa.RecordBatch.from_arrays(row, names)
+
         for b in batches:
-            for row in range(b.num_rows):
-                one = b.slice(row, 1)
-                bits, marks = made.pack(np.frombuffer(one.column(5)[0].as_buffer(), "<u4").astype(np.int64))
-                yield pa.RecordBatch.from_arrays([*one.columns[:5], pa.array([marks.astype("<u8").tobytes()], pa.binary()), pa.array([bits], pa.binary())], ["part", "block", "first", "doc_ids", "sizes", "marks", "bits"])
+            id_type = b.column(0).type
+            for i, n, x in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), strict=True):
+                if held and size + n > BLOCK_IDS:
+                    yield close()
+                held.append((i, _ids(x, n)))
+                size += n
+        if held:
+            yield close()
 
-    blocks = plain.mapInArrow(pack, schema.replace("ids binary", "marks binary, bits binary"))
+    ordered = plain.repartitionByRange(int(spark.conf.get("spark.sql.shuffle.partitions")), "_id", "_h").sortWithinPartitions("_id", "_h")
+    blocks = ordered.select("_id", "_n", "_ids").mapInArrow(pack, f"part int, block int, first long, doc_ids array<{kind}>, sizes array<int>, marks binary, bits binary")
     blocks.write.option("compression", "zstd").mode("overwrite").parquet(f"{path}/blocks")
+    drop_path(spark, f"{path}/plain")
+
+
+def _ids(value: pa.BinaryScalar, n: int) -> np.ndarray:
+    """The n ids of a binary value, in two or four bytes each."""
+    x = value.as_buffer()
+    return np.frombuffer(x, "<u2" if x.size == 2 * n else "<u4")
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -82,3 +82,40 @@ def test_empty_table(spark, tmp_path):
     path = "file://" + str(tmp_path / "none")
     token_files.write_tokens(spark.createDataFrame([], "doc_id long, text string"), FILE, path)
     assert token_files.read_digests(spark, path).collect() == []
+
+
+def thue_morse(n):
+    t = np.zeros(1, np.uint8)
+    while len(t) < n:
+        t = np.concatenate([t, 1 - t])
+    return t
+
+
+def test_texts_of_regular_build_do_not_share_ids():
+    model, mine = Tokenizer.from_file(FILE), token_files.Encoder(FILE)
+    texts = []
+    for n in [2**i for i in range(4, 17)]:
+        t = thue_morse(n)
+        texts += [(t + 97).tobytes().decode(), (98 - t).tobytes().decode()]
+    for t, ids in zip(texts, mine.encode(pa.array(texts)), strict=True):
+        assert model.encode(t, add_special_tokens=False).ids == ids.tolist(), len(t)
+
+
+def test_equal_hashes_never_give_equal_ids(monkeypatch):
+    monkeypatch.setattr(token_files, "span_hashes", lambda raw, starts, ends: (raw[starts] % 3).astype(np.uint64))
+    rng = random.Random(9)
+    texts = [alphabet_soup(rng) for _ in range(300)]
+    model, mine = Tokenizer.from_file(FILE), token_files.Encoder(FILE)
+    for some in (texts[:150], texts[100:], texts):
+        for t, ids in zip(some, mine.encode(pa.array(some)), strict=True):
+            assert model.encode(t, add_special_tokens=False).ids == ids.tolist(), t
+
+
+def test_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(token_files, "REMEMBERED", 50)
+    rng = random.Random(3)
+    texts = [alphabet_soup(rng) for _ in range(400)]
+    model, mine = Tokenizer.from_file(FILE), token_files.Encoder(FILE)
+    for at in range(0, 400, 40):
+        for t, ids in zip(texts[at : at + 40], mine.encode(pa.array(texts[at : at + 40])), strict=True):
+            assert model.encode(t, add_special_tokens=False).ids == ids.tolist(), t
