@@ -1,15 +1,18 @@
 """Quality classifier from weak labels: heuristic labellers vote, expectation-maximisation estimates how far each can be trusted,
 and the posterior labels train a hashed linear scorer.
 
-Labellers see whole texts and vote good (1), junk (0) or nothing (2). Most look for one symptom and say nothing without it. The counts of all vote patterns (at most 3 ** 9, over
-all documents) go to the driver, where EM fits a two-class model: a class prior and, for each labeller and class, the chances of its
-three votes, each with a prior worth a tenth of the documents so that a corpus without junk is not split in two. The scorer
-is a logistic regression on the square roots of hashed 4-gram shares, over bytes and over byte classes, and on the measured shares in steps. It is trained on a bounded
-sample (`TRAIN_DOCS`, by hash of id and text) of documents with their posterior as soft label, and scores every document.
+Labellers see whole texts and vote good (1), junk (0) or nothing (2). Most look for one symptom and say nothing without it. The counts
+of all vote patterns (at most 3 ** 9, over all documents) go to the driver, where EM fits a two-class model: a class prior and, for each
+labeller and class, the chances of its three votes, each with a prior worth a tenth of the documents so that a corpus without junk is
+not split in two. The scorer is a logistic regression on the square roots of hashed 4-gram shares, over bytes and over byte classes, and
+on the measured shares in steps. It is trained on a bounded sample: the `TRAIN_DOCS` different (id, text) of smallest hash, or all if
+there are fewer, with their posterior as soft label. Such a sample is as large at every size of the table, repeats of a row do not
+change it, and it does not depend on how rows are dealt out. The model scores every document.
 
 Defined results: a null or wordless text gets no votes and no grams, so its posterior and score are the priors' (kept unless junk is
 the rule); repeated documents are each reported alike; an empty table gives an empty result; only the id and text columns are
-read, and `drop_junk` returns all columns of the rows it keeps.
+read, and `drop_junk` returns all columns of the rows it keeps. Texts are measured whole; the arrays of a very long text take some tens
+of times its bytes in one worker.
 """
 
 from __future__ import annotations
@@ -21,9 +24,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import buffer_of, span_hashes, keep_rows, mix, pieces, ship, word_spans
+from lakeloom.llm.common import buffer_of, cut, keep_rows, mix, pieces, shared_dir, ship, span_hashes, word_spans
 
-#: Documents that train the scorer; hash buckets of byte grams and of class grams; steps that a measured share is divided into.
+#: Different documents that train the scorer; hash buckets of byte grams and of class grams; steps that a measured share is divided into.
 TRAIN_DOCS, BYTE_BUCKETS, CLASS_BUCKETS = 1500, 4096, 1024
 STEPS = 12
 GOOD, JUNK, NONE = 1, 0, 2
@@ -186,36 +189,52 @@ def _pattern(votes: np.ndarray) -> np.ndarray:
     return votes @ 3 ** np.arange(votes.shape[1])
 
 
+def smallest(hashes: np.ndarray, k: int) -> np.ndarray:
+    """The k smallest different values, ascending."""
+    return np.unique(hashes)[:k]
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit the vote model on all documents and the scorer on a sample of TRAIN_DOCS (at most twice as many)."""
+    """Fit the vote model on all documents and the scorer on a sample of TRAIN_DOCS different ones."""
     ship(docs.sparkSession)
     text = F.col(text_col).cast("string")
+    hashed = docs.select(F.xxhash64(F.col(id_col), text).alias("h"), text.alias("_text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(3 ** len(LABELLERS), np.int64)
+        total, least = np.zeros(3 ** len(LABELLERS), np.int64), np.empty(0, np.int64)
         for b in batches:
-            for lo, hi in pieces(np.diff(buffer_of(b.column(0))[1])):
-                total += np.bincount(_pattern(votes_of(*buffer_of(b.column(0).slice(lo, hi - lo)))[0]), minlength=len(total))
+            least = smallest(np.concatenate([least, b.column(0).to_numpy()]), TRAIN_DOCS)
+            for lo, hi in pieces(np.diff(buffer_of(b.column(1))[1])):
+                total += np.bincount(_pattern(votes_of(*buffer_of(b.column(1).slice(lo, hi - lo)))[0]), minlength=len(total))
         at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["pattern", "n"])
-
-    found = docs.select(text.alias("_text")).mapInArrow(count, "pattern int, n long").groupBy("pattern").agg(F.sum("n").alias("n")).toPandas().sort_values("pattern")
-    patterns = found["pattern"].to_numpy(np.int64)[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
-    counts = found["n"].to_numpy(float)
-    classes, chances = fit_accuracies(patterns, counts)
+        pattern = pa.array([*at.tolist(), *[None] * len(least)], pa.int32())
+        yield pa.RecordBatch.from_arrays([pattern, pa.array([*[None] * len(at), *least.tolist()], pa.int64()), pa.array([*total[at].tolist(), *[0] * len(least)], pa.int64())], ["pattern", "h", "n"])
+
+    # One pass gives both: the patterns' counts, and each task's smallest hashes, of which the smallest of all are picked.
+    top = shared_dir(docs.sparkSession)
+    found = cut(hashed.mapInArrow(count, "pattern int, h long, n long").groupBy("pattern", "h").agg(F.sum("n").alias("n")), top, "votes")
+    counted = found.where("pattern IS NOT NULL").select("pattern", "n").toPandas().sort_values("pattern")
+    patterns = counted["pattern"].to_numpy(np.int64)[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
+    classes, chances = fit_accuracies(patterns, counted["n"].to_numpy(float))
+    chosen = np.array([r["h"] for r in found.where("pattern IS NULL").select("h").orderBy("h").limit(TRAIN_DOCS).collect()], np.int64)
+    if not len(chosen):
+        if len(counted):
+            raise RuntimeError("documents were counted, but none was sampled")
+        return Model(classes, chances, train(np.empty((0, BUCKETS), np.float32), np.empty(0)))
 
     def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
         for b in batches:
-            for lo, hi in pieces(np.diff(buffer_of(b.column(1))[1])):
-                raw, offsets = buffer_of(b.column(1).slice(lo, hi - lo))
+            for i, h in enumerate(b.column(0).to_pylist()):
+                if h in seen or chosen[min(np.searchsorted(chosen, h), len(chosen) - 1)] != h:
+                    continue
+                seen.add(h)
+                raw, offsets = buffer_of(b.column(1).slice(i, 1))
                 votes, steps = votes_of(raw, offsets)
-                x = [features(raw[a:z], y).tobytes() for a, z, y in zip(offsets[:-1], offsets[1:], steps, strict=True)]
-                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(_pattern(votes), pa.int32()), pa.array(x, pa.binary())], ["h", "pattern", "x"])
+                yield pa.RecordBatch.from_arrays([pa.array([h], pa.int64()), pa.array(_pattern(votes), pa.int32()), pa.array([features(raw, steps[0]).tobytes()], pa.binary())], ["h", "pattern", "x"])
 
-    n = counts.sum()
-    h = F.xxhash64(F.col(id_col), text)
-    chosen = docs.select(h.alias("h"), text.alias("_text")).where(F.pmod("h", F.lit(1_000_003)) < int(1_000_003 * min(1.0, TRAIN_DOCS / max(1.0, n))))
-    rows = chosen.limit(2 * TRAIN_DOCS).mapInArrow(sample, "h long, pattern int, x binary").toPandas().sort_values(["h", "pattern"])
+    picked = hashed.where(F.col("h") <= int(chosen[-1])).mapInArrow(sample, "h long, pattern int, x binary")
+    rows = picked.groupBy("h").agg(F.min(F.struct("pattern", "x")).alias("r")).select("h", "r.*").toPandas().sort_values("h")  # at most TRAIN_DOCS rows
     x = np.frombuffer(b"".join(rows["x"]), np.float32).reshape(-1, BUCKETS)
     votes = rows["pattern"].to_numpy(np.int64)[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
     return Model(classes, chances, train(x, posterior(votes, classes, chances)))
