@@ -8,6 +8,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +17,11 @@ PIECE_BYTES = 1 << 20
 #: Bytes of an Arrow batch between Spark and Python (a longer row is a batch of its own). It is held on both sides.
 BATCH_BYTES = 8 << 20
 
+#: Rows of ids that may be broadcast (a few MB), and rows of one key that a shuffled join may take before the key counts as hot.
+BROADCAST_ROWS, HOT = 200_000, 1000
+#: Files whose rows are numbered by their place in them.
+FILES = 20_000
+
 _U64 = np.uint64
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
@@ -59,6 +65,48 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def numbered(df: DataFrame, row: str, top: str) -> DataFrame:
+    """`df` with a number for each row that is the same whenever the table is read again, whatever the executors.
+
+    Rows of files get it from their file and their place there; the rows of any other plan are written down first.
+    """
+    path, place, number = (unused(x, df) for x in ("_path", "_place", "_number"))
+    try:
+        at = df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+        files = sorted(r[0] for r in at.select(path).distinct().limit(FILES + 1).collect())
+    except AnalysisException:
+        files = []
+    if not files or len(files) > FILES:
+        return cut(df.select("*", F.monotonically_increasing_id().alias(row)), top, "rows")
+    numbers = F.broadcast(df.sparkSession.createDataFrame(list(enumerate(files)), f"{number} long, {unused('_of', df)} string"))
+    at = at.join(numbers, F.col(path) == F.col(unused("_of", df)))
+    return at.select(*own_columns(df), (F.shiftleft(F.col(number), 40) + F.col(place)).alias(row))
+
+
+def is_small(keys: DataFrame) -> bool:
+    """Whether a table of ids may be broadcast, by its counted rows."""
+    return keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
+def meet(df: DataFrame, on: Column, keys: DataFrame, how: str) -> DataFrame:
+    """`df` joined with a table of ids of unknown size: broadcast if it is counted to be small, else a shuffle without a sort of `df`."""
+    return df.join(F.broadcast(keys) if is_small(keys) else keys.hint("shuffle_hash"), on, how)
+
+
+def hot_join(many: DataFrame, one: DataFrame, key: str) -> DataFrame:
+    """Inner join on a column of both, which has no two rows alike in `one` and no nulls.
+
+    A key of over HOT rows of `many` and over a thousandth of them (at most a thousand keys) meets `one` in a broadcast, so that no task
+    gets all its rows; the others meet in a shuffle. Both tables are read more than once.
+    """
+    n = many.count()
+    if n <= HOT:
+        return many.join(one, key)
+    hot = many.groupBy(key).agg(F.count("*").alias("_rows")).where(F.col("_rows") > max(HOT, n // 1000)).select(key)
+    hot = F.broadcast(one.join(F.broadcast(hot), key, "left_semi"))
+    return many.join(hot.select(key), key, "left_anti").join(one, key).unionByName(many.join(hot, key))
+
+
 def keep_rows(df: DataFrame, column: str, keep: Callable[[pa.Array], np.ndarray]) -> DataFrame:
     """The rows whose value of `column` passes `keep` (flags for a batch), with all columns, whatever their names."""
     at = df.columns.index(column)

@@ -5,17 +5,21 @@ is one window). The alphabet is the word: a block is the last few words before t
 the cursor may skip, buckets of suffix hashes select the windows to test, and a direct comparison of the words' bytes
 confirms each occurrence. Many cursors advance together in numpy arrays, over all documents of an Arrow batch.
 
-The benchmark reaches the workers in blocks of at most `BLOCK_WORDS` words (a proven bound on what is broadcast); a larger
-benchmark takes more blocks, each of which passes over the documents without a shuffle.
+The benchmark reaches the workers in blocks of at most `BLOCK_WORDS` words and `BLOCK_BYTES` bytes (longer items are cut into pieces
+that overlap by a window less a word), one block at a time: this bounds what the driver holds and what is broadcast. A benchmark of one
+block takes one pass over the documents without a shuffle; each further block takes a pass of its own, which writes down the documents it
+hits, and these are put together by row.
 
 Defined results: null or wordless texts have no words and no hits; repeated items count once by id; an item with a null id
 counts under the empty id; repeated documents are each reported; an empty benchmark contaminates nothing; only the id and
-text columns are read by `find_benchmark`, so other columns never clash.
+text columns are read by `find_benchmark`, so other columns never clash. Texts are searched whole; the arrays of a very long one take
+some tens of times its bytes in one worker.
 """
 
 from __future__ import annotations
 
 import hashlib
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,10 +27,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import LOWER, buffer_of, span_hashes, keep_rows, mix, pieces, ship, word_spans
+from lakeloom.llm.common import LOWER, buffer_of, cut, keep_rows, meet, mix, numbered, own_columns, pieces, shared_dir, ship, span_hashes, unused, word_spans
 
-#: Words of benchmark items in one broadcast block; about 100 bytes of tables a word.
-BLOCK_WORDS = 500_000
+#: Words and bytes of benchmark items in one broadcast block at most (a window may have more); some 200 bytes of tables a word.
+BLOCK_WORDS, BLOCK_BYTES = 500_000, 16 << 20
 #: Words of the suffix block that the shift table is keyed by.
 SUFFIX_WORDS = 3
 #: End positions that one cursor covers.
@@ -111,39 +115,51 @@ class Patterns:
         return np.array(found_at, np.int64), np.array(found, np.int64)
 
 
-def windows_of(items: list[tuple[str, bytes]], window: int) -> dict[int, dict[bytes, set[str]]]:
+_KEEP = bytes(b if WORD_BYTES[b] else 32 for b in LOWER)
+
+
+def words_in(text: str) -> list[bytes]:
+    return text.encode().translate(_KEEP).split()
+
+
+def windows_of(items: list[tuple[str, list[bytes]]], window: int) -> dict[int, dict[bytes, set[str]]]:
     """For each length in words, the windows of that length (words joined by one space) and the ids of their items."""
     out: dict[int, dict[bytes, set[str]]] = {}
-    keep = bytes(b if WORD_BYTES[b] else 32 for b in LOWER)
-    for item, text in items:
-        words = text.translate(keep).split(b" ")
-        words = [w for w in words if w]
+    for item, words in items:
         n = min(window, len(words))
         for i in range(len(words) - n + 1 if n else 0):
             out.setdefault(n, {}).setdefault(b" ".join(words[i : i + n]), set()).add(item)
     return out
 
 
-def blocks(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> list[list[Patterns]]:
-    """The benchmark's tables in blocks. Items are read partition by partition, so the driver holds one block of texts at a time."""
-    found: list[list[Patterns]] = []
-    held: list[tuple[str, bytes]] = []
-    n = 0
+def parts_of(words: list[bytes], window: int) -> Iterator[list[bytes]]:
+    """The words of one item in parts that fit a block; each window is in just one of them."""
+    first, size = 0, 0
+    for i, w in enumerate(words):
+        size += len(w) + 1
+        if i - first >= window and (i - first >= BLOCK_WORDS or size > BLOCK_BYTES):
+            yield words[first:i]
+            first = i - window + 1
+            size = sum(len(x) + 1 for x in words[first : i + 1])
+    yield words[first:]
 
-    def close() -> None:
-        if tables := [Patterns(k, v) for k, v in sorted(windows_of(held, window).items())]:
-            found.append(tables)
 
-    rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(F.col("text").isNotNull())
+def blocks(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> Iterator[list[Patterns]]:
+    """The benchmark's tables, a block at a time. Items are read partition by partition."""
+    held: list[tuple[str, list[bytes]]] = []
+    n = size = 0
+    rows = benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).cast("string").alias("text")).where(F.col("text").isNotNull())
     for row in rows.toLocalIterator():
-        text = row["text"].encode()
-        held.append((row["item"] or "", text))
-        n += len(text) // 2 + 1  # no more words than this
-        if n >= BLOCK_WORDS:
-            close()
-            held, n = [], 0
-    close()
-    return found
+        for part in parts_of(words_in(row["text"]), window):
+            more = sum(map(len, part)) + len(part)
+            if held and (n + len(part) > BLOCK_WORDS or size + more > BLOCK_BYTES):
+                yield [Patterns(k, v) for k, v in sorted(windows_of(held, window).items())]
+                held, n, size = [], 0, 0
+            if part:
+                held.append((row["item"] or "", part))
+                n, size = n + len(part), size + more
+    if held:
+        yield [Patterns(k, v) for k, v in sorted(windows_of(held, window).items())]
 
 
 def search_batch(column: pa.Array, tables: list[Patterns]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[set[str]]]:
@@ -176,53 +192,78 @@ def search_batch(column: pa.Array, tables: list[Patterns]) -> tuple[np.ndarray,
     return np.concatenate(n_words or empty), np.concatenate(n_hit or empty), flags, items
 
 
+def first_blocks(benchmark: DataFrame, window: int, item_col: str, text_col: str) -> tuple[list[Patterns] | None, Iterator[list[Patterns]]]:
+    """(the only block, nothing) or (None, all blocks)."""
+    every = blocks(benchmark, window, item_col, text_col)
+    one, two = next(every, []), next(every, None)
+    return (one, iter(())) if two is None else (None, itertools.chain([one, two], every))
+
+
+def hits_of(rows: DataFrame, every: Iterator[list[Patterns]], top: str) -> DataFrame:
+    """_row, hits (bits by word) and items for each block and each row (_row, _text) that it hits: one pass a block, whose broadcast ends with it."""
+    spark, out = rows.sparkSession, None
+    for number, tables in enumerate(every):
+        shared = spark.sparkContext.broadcast(tables)
+
+        def step(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                _, n_hit, flags, items = search_batch(b.column(1), shared.value)
+                at = np.flatnonzero(n_hit)
+                yield pa.RecordBatch.from_arrays([b.column(0).take(pa.array(at)), pa.array([np.packbits(flags[i]).tobytes() for i in at], pa.binary()), pa.array([sorted(items[i]) for i in at], pa.list_(pa.string()))], ["_row", "hits", "items"])
+
+        found = cut(rows.mapInArrow(step, "_row long, hits binary, items array<string>"), top, f"hits{number}")
+        shared.destroy()
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
 def find_benchmark(docs: DataFrame, benchmark: DataFrame, window: int = 10, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document: id, n_words, n_hit, items (sorted ids) and contaminated. See the module for null and other special cases."""
     spark = docs.sparkSession
     ship(spark)
-    tables = blocks(benchmark, window, item_col, item_text_col) or [[]]
-    shared = [spark.sparkContext.broadcast(t) for t in tables]
+    only, every = first_blocks(benchmark, window, item_col, item_text_col)
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     df = docs.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    if len(shared) == 1:
-        only = shared[0]
-
-        def one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                n_words, n_hit, _, items = search_batch(b.column(1), only.value)
-                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], ["_id", "n_words", "n_hit", "items"])
+    shared = spark.sparkContext.broadcast(only or [])
 
-        df = df.mapInArrow(one, f"_id {kind}, n_words long, n_hit long, items array<string>")
-    else:
-        df = df.withColumns({"n_words": F.lit(0).cast("long"), "hits": F.lit(None).cast("binary"), "items": F.array().cast("array<string>")})
-        for x in shared:
-
-            def step(batches: Iterator[pa.RecordBatch], x=x) -> Iterator[pa.RecordBatch]:
-                for b in batches:
-                    n_words, _, flags, items = search_batch(b.column(1), x.value)
-                    hits = [np.packbits(f | np.unpackbits(np.frombuffer(old, np.uint8), count=len(f)).astype(bool) if old else f).tobytes() for f, old in zip(flags, b.column(3).to_pylist(), strict=True)]
-                    items = [sorted(set(old) | new) for old, new in zip(b.column(4).to_pylist(), items, strict=True)]
-                    yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(n_words, pa.int64()), pa.array(hits, pa.binary()), pa.array(items, pa.list_(pa.string()))], ["_id", "_text", "n_words", "hits", "items"])
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n_words, n_hit, _, items = search_batch(b.column(1), shared.value)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))], ["_id", "n_words", "n_hit", "items"])
 
-            df = df.mapInArrow(step, f"_id {kind}, _text string, n_words long, hits binary, items array<string>")
+    if only is None:
+        top = shared_dir(spark)
+        rows = cut(df.withColumn("_row", F.monotonically_increasing_id()), top, "rows")
+        hits = hits_of(rows.select("_row", "_text"), every, top).groupBy("_row").agg(F.collect_list("hits").alias("hits"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
 
-        def total(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for b in batches:
-                n_hit = [int(np.unpackbits(np.frombuffer(x or b"", np.uint8)).sum()) for x in b.column(3).to_pylist()]
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n_hit, pa.int64()), b.column(4)], ["_id", "n_words", "n_hit", "items"])
-
-        df = df.mapInArrow(total, f"_id {kind}, n_words long, n_hit long, items array<string>")
+                n = [int(np.bitwise_count(np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in held])).sum()) for held in b.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), b.column(2)], ["_of", "_hit", "_items"])
+
+        hits = cut(hits.select("_row", "hits", "items").mapInArrow(merge, "_of long, _hit long, _items array<string>"), top, "merged")
+        counted = rows.select(F.struct("_id", "_row").alias("_key"), "_text").mapInArrow(search, f"_id struct<_id: {kind}, _row: long>, n_words long, n_hit long, items array<string>")
+        counted = counted.select(F.col("_id._row").alias("_row"), F.col("_id._id").alias("_id"), "n_words")
+        none = F.array().cast("array<string>")
+        df = meet(counted, F.col("_row") == F.col("_of"), hits, "left").select("_id", "n_words", F.coalesce("_hit", F.lit(0)).alias("n_hit"), F.coalesce("_items", none).alias("items"))
+    else:
+        df = df.mapInArrow(search, f"_id {kind}, n_words long, n_hit long, items array<string>")
     return df.select(F.col("_id").alias(id_col), "n_words", "n_hit", "items", (F.col("n_hit") > 0).alias("contaminated"))
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
-    """The rows of `docs` in whose text no window of the benchmark occurs, with all their columns; nothing is shuffled."""
+    """The rows of `docs` in whose text no window of the benchmark occurs, with all their columns; with one block nothing is shuffled."""
     spark = docs.sparkSession
     ship(spark)
-    for tables in blocks(benchmark, window, item_col, item_text_col):
-        shared = spark.sparkContext.broadcast(tables)
-        docs = keep_rows(docs, text_col, lambda c, shared=shared: search_batch(c, shared.value)[1] == 0)
-    return docs
+    only, every = first_blocks(benchmark, window, item_col, item_text_col)
+    if only is not None:
+        shared = spark.sparkContext.broadcast(only)
+        return keep_rows(docs, text_col, lambda c: search_batch(c, shared.value)[1] == 0)
+    top, row, key = shared_dir(spark), unused("_row", docs), unused("_hit", docs)
+    rows = numbered(docs, row, top)
+    at = dict(zip(rows.columns, own_columns(rows), strict=True))
+    hits = hits_of(rows.select(at[row].alias("_row"), at[text_col].cast("string").alias("_text")), every, top)
+    return meet(rows, at[row] == F.col(key), hits.select(F.col("_row").alias(key)).distinct(), "left_anti").select(own_columns(docs))
 
 
 def digest(items: Column) -> Column:

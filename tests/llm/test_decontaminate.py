@@ -37,7 +37,8 @@ def test_matches_brute_force(spark):
 def test_many_blocks_and_small_pieces_agree(spark, monkeypatch):
     docs, items, d, b = tables(spark)
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 60)
-    assert len(decontaminate.blocks(items, 10, "item_id", "text")) > 3
+    every = list(decontaminate.blocks(items, 10, "item_id", "text"))
+    assert len(every) > 3 and all(sum(len(t.text) for t in block) <= 60 for block in every)
     want = sorted(((i, *decontaminate.brute_force(t, b)) for i, t in d), key=str)
     assert result(decontaminate.find_benchmark(docs, items)) == want
     kept = decontaminate.drop_contaminated(docs, items)
@@ -50,3 +51,16 @@ def test_empty_tables(spark):
     assert not any(r["contaminated"] for r in decontaminate.find_benchmark(docs, items.limit(0)).collect())
     assert decontaminate.find_benchmark(docs.limit(0), items).collect() == []
     assert decontaminate.drop_contaminated(docs, items.limit(0)).count() == len(d)
+
+
+def test_items_longer_than_a_block_are_cut(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 40)
+    words = [f"w{i}" for i in range(300)]
+    items = [(1, " ".join(words)), (2, "short one")]
+    d = [(i, " ".join(words[max(0, i - 3) : i + 12])) for i in range(290)] + [(900, "a short one here"), (901, "none of it"), (902, None)]
+    schema = "doc_id long, text string"
+    got = result(decontaminate.find_benchmark(spark.createDataFrame(d, schema), spark.createDataFrame(items, "item_id long, text string")))
+    assert got == sorted(((i, *decontaminate.brute_force(t, items)) for i, t in d), key=str)
+    parts = list(decontaminate.parts_of([b"x%d" % i for i in range(500)], 10))
+    whole = [tuple(p[i : i + 10]) for p in parts for i in range(len(p) - 9)]
+    assert whole == [tuple(b"x%d" % (i + k) for k in range(10)) for i in range(491)] and max(map(len, parts)) <= 40
