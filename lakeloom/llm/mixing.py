@@ -6,15 +6,17 @@ where x is the document's size over its source's mean size and l is the source's
 convex dual: each is one aggregation over the table of (source, size, number of documents), which holds every document
 and has no more rows a source than there are distinct sizes; the driver holds one number a source.
 
-Rates become whole copies by systematic rounding down the sizes of a source, then a few single copies are moved where they
-bring the source nearest to its target. Within a size the documents that get the larger number of copies are chosen by hash;
-a size of very many documents is dealt out in parts.
+Rates become whole copies by systematic rounding down the sizes of a source, which misses a target by half its largest document at
+most; then copies of one size at a time are moved where they bring the source nearest to its target, as long as any do. Within a size the
+documents that get the larger number of copies are chosen by hash; a size of very many documents is dealt out in parts.
 
-The mix is a specification by source, so its sources (not documents) come to the driver.
+The mix is a specification by source: its sources (not documents) come to the driver, one number each, and a source's distinct sizes
+(at most the square root of twice its words) meet in one task.
 
 Defined results: null or wordless texts have size 0, count for no target and are taken once; a null source is a source of
 its own, last; repeated documents share alike; a source without words has target 0; an empty table gives an empty result.
-Extra columns are not read by `mix_counts`; `mix` returns the input's columns.
+Extra columns are not read by `mix_counts`; `mix` returns the input's columns. Texts are counted whole; a very long one is one row like
+any other. Newton steps that do not meet the targets are an error, not a result.
 """
 
 from __future__ import annotations
@@ -27,10 +29,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from lakeloom.llm.common import cut, own_columns, shared_dir, unused
+from lakeloom.llm.common import cut, meet, numbered, own_columns, shared_dir, unused
 
-#: Documents of one size that are ranked in one task (or a thousandth of all), Newton steps at most, relative error of the dual, single copies moved.
-PART, STEPS, CLOSE, MOVES = 1000, 40, 1e-7, 12
+#: Documents of one size that are ranked in one task (or a thousandth of all), relative error of the dual.
+PART, CLOSE = 1000, 1e-7
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -68,9 +70,7 @@ def tilt(cells: DataFrame, goal: np.ndarray, size: np.ndarray, most: float) -> n
     active = (size > 0) & np.isfinite(value)
     value[active] = np.log(goal[active] / size[active])
     low, high = np.full(n, -np.inf), np.full(n, np.inf)
-    for _ in range(STEPS):
-        if not active.any():
-            break
+    while active.any():
         now = _by_source(cells.sparkSession, np.flatnonzero(active).tolist(), {"_l": (T.DoubleType(), value[active].tolist())}, "_source", T.IntegerType())
         rate = F.exp(F.col("_l") * F.col("_x"))
         words = F.col("_n") * F.col("_size")
@@ -84,15 +84,17 @@ def tilt(cells: DataFrame, goal: np.ndarray, size: np.ndarray, most: float) -> n
             step = value[s] - f / g if g > 0 else np.nan
             if not low[s] < step < high[s]:  # Newton left the bracket: halve it, or widen it while it is open
                 step = (low[s] + high[s]) / 2 if np.isfinite(low[s] + high[s]) else 2 * value[s] + (1 if f < 0 else -1)
+            if step in (low[s], high[s]) or abs(step) > 1e15:  # no number is left between the bounds, so the target is out of reach
+                raise ArithmeticError(f"source {s} misses its target of {goal[s]} words by {f}")
             value[s] = step
     return value
 
 
-def plan(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str | None, float]], share: float, most: int, id_col: str, source_col: str, text_col: str) -> DataFrame:
-    """_id, _size, _name (source), _total (its words), _target and _copies of each document."""
+def plan(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str | None, float]], share: float, most: int, id_col: str, source_col: str, text_col: str, row_col: str | None = None) -> DataFrame:
+    """_id, _row, _size, _name (source), _total (its words), _target and _copies of each document."""
     spark = docs.sparkSession
     top = shared_dir(spark)
-    sized = docs.select(F.col(id_col).alias("_id"), F.col(source_col).alias("_name"), F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("_size"))
+    sized = docs.select(F.col(id_col).alias("_id"), (docs[row_col] if row_col else F.lit(0).cast("long")).alias("_row"), F.col(source_col).alias("_name"), F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("_size"))
     sized = cut(sized, top, "sized")
     kind = sized.schema["_name"].dataType
     cells = cut(sized.groupBy("_name", "_size").agg(F.count("*").alias("_n")), top, "cells")
@@ -117,27 +119,28 @@ def plan(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str | Non
     reached = {r["_source"]: r["t"] for r in rounded.groupBy("_source").agg(F.sum(F.col("_k") * F.col("_size")).alias("t")).collect()}
     miss = np.array([goal[i] - reached.get(i, 0) for i in range(len(names))])
     moves: dict[tuple[int, int], int] = {}
-    for _ in range(MOVES):
+    step_kind = "_source int, _size long, _move long"
+    while True:
         now = rounded.join(_by_source(spark, list(range(len(names))), {"_miss": (T.DoubleType(), miss.tolist())}, "_source", T.IntegerType()), "_source")
-        if moves:
-            step = spark.createDataFrame([(*at, n) for at, n in moves.items()], "_source int, _size long, _move int")  # at most MOVES rows a source
-            now = now.join(F.broadcast(step), ["_source", "_size"], "left")
+        if moves:  # at most a row a source for each turn
+            now = now.join(F.broadcast(spark.createDataFrame([(*at, n) for at, n in moves.items()], step_kind)), ["_source", "_size"], "left")
         else:
-            now = now.withColumn("_move", F.lit(0))
+            now = now.withColumn("_move", F.lit(0).cast("long"))
         held = F.col("_k") + F.coalesce("_move", F.lit(0))
-        after = F.abs(F.abs("_miss") - F.col("_size"))
-        free = F.when(F.col("_miss") > 0, held < most * F.col("_n")).otherwise(held > 0)
-        best = now.where(free & (F.col("_size") > 0) & (after < F.abs("_miss"))).groupBy("_source").agg(F.min(F.struct(after.alias("d"), "_size")).alias("b")).collect()
+        free = F.when(F.col("_miss") > 0, most * F.col("_n") - held).otherwise(held)
+        now = now.where(F.col("_size") > 0).withColumn("_count", F.least(free, F.greatest(F.lit(1), F.round(F.abs("_miss") / F.col("_size")).cast("long")))).where("_count > 0")
+        after = F.abs(F.abs("_miss") - F.col("_count") * F.col("_size"))
+        # Only a move that brings the source nearer by more than rounding of its numbers, so the turns come to an end.
+        best = now.where(after < F.abs("_miss") - 1e-6).groupBy("_source").agg(F.min(F.struct(after.alias("d"), F.col("_count"), F.col("_size"))).alias("b")).collect()
         if not best:
             break
         for r in best:
             sign = 1 if miss[r["_source"]] > 0 else -1
             at = (r["_source"], r["b"]["_size"])
-            moves[at] = moves.get(at, 0) + sign
-            miss[at[0]] -= sign * at[1]
+            moves[at] = moves.get(at, 0) + sign * r["b"]["_count"]
+            miss[at[0]] -= sign * at[1] * r["b"]["_count"]
     if moves:
-        step = spark.createDataFrame([(*at, n) for at, n in moves.items()], "_source int, _size long, _move int")
-        rounded = rounded.join(F.broadcast(step), ["_source", "_size"], "left").withColumn("_k", F.col("_k") + F.coalesce("_move", F.lit(0))).drop("_move")
+        rounded = rounded.join(F.broadcast(spark.createDataFrame([(*at, n) for at, n in moves.items()], step_kind)), ["_source", "_size"], "left").withColumn("_k", F.col("_k") + F.coalesce("_move", F.lit(0))).drop("_move")
     # The copies of a size go to its documents in the order of their hash. A size of more documents than PART and than a thousandth
     # of all is dealt out in parts; there are at most a thousand such sizes.
     most_rows = max(PART, sum(docs_of.values()) // 1000)
@@ -148,11 +151,11 @@ def plan(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str | Non
     rows = sized.join(number, F.col("_name").eqNullSafe(F.col("_of"))).drop("_of", "_mean").withColumn("_h", F.xxhash64("_id", "_size"))
     rows = rows.join(large, ["_source", "_size"], "left").withColumn("_part", F.pmod(F.shiftrightunsigned("_h", 20), F.coalesce("_dealt", F.lit(1))).cast("int"))
     rows = rows.join(cell, ["_source", "_size", "_part"])
-    rank = F.row_number().over(W.partitionBy("_source", "_size", "_part").orderBy("_h", "_id"))
+    rank = F.row_number().over(W.partitionBy("_source", "_size", "_part").orderBy("_h", "_id", "_row"))
     lead = F.when(F.col("_parts") == 1, 0.0).otherwise(F.pmod(F.col("_part") * 0.6180339887498949, F.lit(1.0))) + 1e-9
     rows = rows.withColumn("_rank", rank)
     extra = F.floor(F.col("_rank") * F.col("_more") + lead) - F.floor((F.col("_rank") - 1) * F.col("_more") + lead)
-    return rows.select("_id", "_size", "_name", "_total", "_target", (F.col("_base") + extra).cast("int").alias("_copies"))
+    return rows.select("_id", "_row", "_size", "_name", "_total", "_target", (F.col("_base") + extra).cast("int").alias("_copies"))
 
 
 def mix_counts(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str | None, float]] = cyclic, share: float = 1.5, most: int = 2, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
@@ -162,11 +165,11 @@ def mix_counts(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str
 
 
 def mix(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str | None, float]] = cyclic, share: float = 1.5, most: int = 2, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, each as often as the mix takes it; rows that share an id are taken alike."""
-    p = plan(docs, weigh, share, most, id_col, source_col, text_col)
-    key, number = unused("_taken", docs), unused("_copies", docs)
-    copies = p.groupBy(F.col("_id").alias(key)).agg(F.min("_copies").alias(number)).where(F.col(number) > 0)
-    copies = cut(copies, shared_dir(docs.sparkSession), "copies")
-    # The taken ids grow with the documents: always a shuffle (hash tables of ids, no sort of the texts), never a broadcast.
-    rows = docs.join(copies.hint("shuffle_hash"), docs[id_col].eqNullSafe(copies[key]))
+    """The rows of `docs`, each as often as the mix takes it. Rows that share an id, or have none, are documents of their own."""
+    spark = docs.sparkSession
+    top, row, key, number = shared_dir(spark), unused("_row", docs), unused("_taken", docs), unused("_copies", docs)
+    rows = numbered(docs, row, top)
+    p = plan(rows, weigh, share, most, id_col, source_col, text_col, row)
+    copies = cut(p.where("_copies > 0").select(F.col("_row").alias(key), F.col("_copies").alias(number)), top, "copies")
+    rows = meet(rows, rows[row] == F.col(key), copies, "inner")
     return rows.select(*own_columns(docs), F.explode(F.sequence(F.lit(1), F.col(number))).alias(unused("_copy", docs))).select(own_columns(docs))
