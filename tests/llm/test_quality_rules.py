@@ -23,6 +23,31 @@ def test_measures_match_brute_force(text):
     assert q.measure_text(text)[:5] == brute(text)
 
 
+def together(texts):
+    import numpy as np
+    import pyarrow as pa
+
+    from lakeloom.llm.common import buffer_of
+
+    found = q.measure_texts(*buffer_of(pa.array(texts, pa.string())))
+    assert found.shape == (len(q.MEASURES), len(texts)) and found.dtype == np.int64
+    return [tuple(x) for x in found.T.tolist()]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.text(alphabet="ab \n\t\x0b#%éA漢", max_size=60) | st.none(), max_size=8))
+def test_texts_measured_together_are_as_alone(texts):
+    assert together(texts) == [q.measure_text(t or "") for t in texts]
+
+
+def test_clashing_hashes_change_nothing(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(q, "span_hashes", lambda raw, starts, ends: ((ends - starts) % 2).astype(np.uint64))
+    texts = ["a b c a b c", "x yy x yy x", "l\nm\nl\nnn", "", "a a a a", "ab cd ab cd ab cd"]
+    assert together(texts) == [q.measure_text(t) for t in texts]
+
+
 def test_ledger_policies_and_ablations(spark):
     clean = " ".join(f"word{i}" for i in range(60))
     texts = [clean, clean.upper(), clean.replace(" ", "%%% "), "a b c " * 40, "too short", None, "", "line\n" * 200, clean + " x" * 20_000]
