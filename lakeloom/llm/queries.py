@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -65,6 +66,11 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", *quality_rules.MEASURES[:5], (~base).alias("base_failed"), (base & quality_rules.passes("v2")).alias("kept"), "failures")
 
 
+def quality_rule_ablations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the latest policy does alone, from op8's ledger."""
+    return quality_rules.ablations(quality_rules.ledger(table(spark, sf_dir, "documents")), "v2")
+
+
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find_benchmark(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), decontaminate.digest(F.col("items")).alias("items_sha256"), "contaminated")
@@ -85,12 +91,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_decontaminate": op9_decontaminate,
     "op10_mixing": op10_mixing,
+    "quality_rule_ablations": quality_rule_ablations,
 }
 
+
 def _known_sql() -> str:
-    """The canonical forms of the known texts as a table."""
-    rows = sorted({(n, licences.canonical_text(t)) for n, t in licences.KNOWN})
-    return "(VALUES " + ", ".join(f"('{n}', '{t}')" for n, t in rows) + ") AS k(licence, form)"
+    """The digests of the known texts as a table."""
+    rows = {hashlib.sha256(licences.canonical_text(t).encode()).hexdigest(): n for n, t in sorted(licences.KNOWN, reverse=True)} | {d: n for n, d in licences.KNOWN_DIGESTS}
+    return "(VALUES " + ", ".join(f"('{n}', '{d}')" for d, n in sorted(rows.items())) + ") AS k(licence, digest)"
 
 
 def _spelled_sql(words: str) -> str:
@@ -99,6 +107,29 @@ def _spelled_sql(words: str) -> str:
     return words
 
 
+#: The measurements and failed rules of each document.
+_LEDGER_SQL = r"""
+        WITH d AS (
+            SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+        ),
+        tri AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM d, range(1, greatest(len(w) - 1, 1)) AS x(i) WHERE len(w) > 2),
+        often AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM tri) WHERE n > 1),
+        rep AS (SELECT r, count(DISTINCT i + k) AS n FROM often, range(0, 3) AS x(k) GROUP BY r),
+        lines AS (SELECT r, count(*) AS n, count(DISTINCT x) AS u FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
+        m AS (
+            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
+                CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+                CAST(coalesce(lines.n - lines.u, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines,
+                length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper, length(t) - length(regexp_replace(t, '[A-Za-z]', '', 'g')) AS n_letters
+            FROM d LEFT JOIN rep USING (r) LEFT JOIN lines USING (r)
+        ),
+        f AS (
+            SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (100 * n_symbols > 8 * word_chars)::INT
+                + 8 * (n_dup_lines > 5 AND 100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
+                + 32 * (word_chars > 25 * n_words)::INT + 64 * (100 * n_upper > 60 * n_letters)::INT AS BIGINT) AS failures
+            FROM m
+        )"""
+
 #: Where SQL can express the whole result: DuckDB statements over the same tables.
 ORACLE_SQL: dict[str, str] = {
     "op5_chat_format": r"""
@@ -125,39 +156,23 @@ ORACLE_SQL: dict[str, str] = {
         WITH l AS (SELECT doc_id, row_number() OVER () AS r, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
         c AS (
             SELECT doc_id, r, list_filter(list_transform(lines, lambda x: CASE
-                WHEN regexp_matches(x, '(?i)^[^\p{{L}}\p{{N}}(©]*(copyright|©|\(c\)|all rights reserved)') THEN ''
+                WHEN regexp_matches(x, '{licences.COPYRIGHT_LINE}') AND NOT regexp_matches(x, '{licences.COPYRIGHT_TEXT}') THEN ''
                 ELSE trim({_spelled_sql(r"' ' || trim(regexp_replace(lower(x), '[^\p{L}\p{N}]+', ' ', 'g')) || ' '")}) END), lambda x: x <> '') AS forms
             FROM l
         ),
-        u AS (
+        v AS (
             SELECT doc_id, r, unnest(forms) AS form, false AS whole FROM c
             UNION ALL SELECT doc_id, r, array_to_string(forms, ' '), true FROM c
-        )
+        ),
+        u AS (SELECT doc_id, r, whole, sha256(form) AS digest FROM v)
         SELECT doc_id, coalesce(string_agg(DISTINCT licence, ',' ORDER BY licence), '') AS licences,
             CAST(count(*) FILTER (licence IS NOT NULL AND NOT whole) AS BIGINT) AS n_lines, max(CASE WHEN whole THEN licence END) AS whole_licence
-        FROM u LEFT JOIN {_known_sql()} USING (form) GROUP BY doc_id, r""",
-    "op8_quality_rules": r"""
-        WITH d AS (
-            SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
-        ),
-        tri AS (SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM d, range(1, greatest(len(w) - 1, 1)) AS x(i) WHERE len(w) > 2),
-        often AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM tri) WHERE n > 1),
-        rep AS (SELECT r, count(DISTINCT i + k) AS n FROM often, range(0, 3) AS x(k) GROUP BY r),
-        lines AS (SELECT r, count(*) AS n, count(DISTINCT x) AS u FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r),
-        m AS (
-            SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(regexp_replace(t, '[\x20\x09-\x0D]', '', 'g')) AS BIGINT) AS word_chars,
-                CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
-                CAST(coalesce(lines.n - lines.u, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lines.n, 0) AS n_lines,
-                length(t) - length(regexp_replace(t, '[A-Z]', '', 'g')) AS n_upper, length(t) - length(regexp_replace(t, '[A-Za-z]', '', 'g')) AS n_letters
-            FROM d LEFT JOIN rep USING (r) LEFT JOIN lines USING (r)
-        ),
-        f AS (
-            SELECT *, CAST((n_words < 50)::INT + 2 * (100 * n_repeat_words > 50 * n_words)::INT + 4 * (100 * n_symbols > 8 * word_chars)::INT
-                + 8 * (n_dup_lines > 5 AND 100 * n_dup_lines > 50 * n_lines)::INT + 16 * (word_chars < 2 * n_words)::INT
-                + 32 * (word_chars > 25 * n_words)::INT + 64 * (100 * n_upper > 60 * n_letters)::INT AS BIGINT) AS failures
-            FROM m
-        )
+        FROM u LEFT JOIN {_known_sql()} USING (digest) GROUP BY doc_id, r""",
+    "op8_quality_rules": f"""{_LEDGER_SQL}
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, failures % 4 > 0 AS base_failed, failures = 0 AS kept, failures FROM f""",
+    "quality_rule_ablations": f"""{_LEDGER_SQL}, r AS (SELECT * FROM (VALUES {", ".join(f"('{name}', CAST({1 << i} AS BIGINT))" for i, (name, _) in enumerate(quality_rules.RULES))}) AS t(rule, bit))
+        SELECT rule, bit, CAST(coalesce(sum(CASE WHEN failures & bit <> 0 THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_failed, CAST(coalesce(sum(CASE WHEN failures = bit THEN 1 ELSE 0 END), 0) AS BIGINT) AS n_only,
+            CAST(coalesce(bit_or(CASE WHEN failures & bit <> 0 THEN xor(failures, bit) ELSE 0 END), 0) AS BIGINT) AS with_others FROM r, f GROUP BY rule, bit""",
     "op9_decontaminate": r"""
         WITH d AS (
             SELECT doc_id, row_number() OVER () AS r,
