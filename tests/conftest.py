@@ -1,33 +1,21 @@
-import os
 import sys
 from pathlib import Path
 
 import pytest
 
-ROOT = Path(__file__).resolve().parents[1]
-sys.path.insert(0, str(ROOT))
-os.environ["PYTHONPATH"] = os.pathsep.join(x for x in (str(ROOT), os.environ.get("PYTHONPATH", "")) if x)
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
-
-@pytest.fixture(scope="session")
-def spark(tmp_path_factory):
-    from pyspark.sql import SparkSession
-
-    session = (
-        SparkSession.builder.master("local[4]")
-        .config("spark.sql.shuffle.partitions", "4")
-        .config("spark.driver.memory", "4g")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
-        .config("spark.checkpoint.dir", "file://" + str(tmp_path_factory.mktemp("checkpoints")))
-        .getOrCreate()
-    )
-    session.sparkContext.setLogLevel("ERROR")
-    yield session
-    session.stop()
+from lakeloom.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
 def sf_dir():
     return "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    folder = lambda name: tmp_path_factory.mktemp(name).as_uri()
+    session = local_session(4, "4g", {"spark.sql.warehouse.dir": folder("tables"), "spark.checkpoint.dir": folder("shared")})
+    yield session
+    session.stop()
