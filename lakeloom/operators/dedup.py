@@ -20,7 +20,11 @@ def classify_duplicates(df: DataFrame, keys: Sequence[str], order_col: str, tieb
     return df.withColumn("_tie", content_hash(rest)).withColumn("row_num", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).drop("_tie")
 
 
+def split(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(winners, losers) of classified rows; losers carry record_type 'duplicate'."""
+    return rows.where("row_num = 1").drop("row_num"), rows.where("row_num > 1").drop("row_num").withColumn("record_type", F.lit("duplicate"))
+
+
 def deduplicate(df: DataFrame, keys: Sequence[str], order_col: str, tiebreak: Sequence[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """(winners, losers); losers carry record_type 'duplicate'."""
-    rows = classify_duplicates(df, keys, order_col, tiebreak)
-    return rows.where("row_num = 1").drop("row_num"), rows.where("row_num > 1").drop("row_num").withColumn("record_type", F.lit("duplicate"))
+    return split(classify_duplicates(df, keys, order_col, tiebreak))

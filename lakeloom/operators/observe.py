@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import json
 from collections.abc import Iterable, Mapping, Sequence
 
@@ -51,9 +52,8 @@ def reconcile(entity: str, bronze: DataFrame, silver: DataFrame, quarantine: Dat
     A key's arrivals are its bronze rows less its quarantined ones. Balanced also asks that no count is negative.
     """
     keyed = lambda df, n: df.select(*keys, F.lit(n).alias("n"), F.lit(1 if n > 0 else 0).alias("b"))
-    not_null = " AND ".join(f"{k} IS NOT NULL" for k in keys)
     # One shuffle counts both sides of a key: bronze adds one, quarantine takes one away.
-    per_key = keyed(bronze, 1).unionByName(keyed(quarantine, -1)).where(not_null).groupBy(*keys).agg(F.sum("n").alias("arrivals"), F.sum("b").alias("b"))
+    per_key = keyed(bronze, 1).unionByName(keyed(quarantine, -1)).dropna(subset=list(keys)).groupBy(*keys).agg(F.sum("n").alias("arrivals"), F.sum("b").alias("b"))
     extra = per_key.where("arrivals > 0 AND b > 0").agg(F.coalesce(F.sum(F.col("arrivals") - 1), F.lit(0)).cast("long").alias("extra"))
     for name, df in (("bronze_rows", bronze), ("silver_rows", silver), ("quarantine_rows", quarantine), ("audit_rows", audit)):
         extra = extra.crossJoin(F.broadcast(df.agg(F.count("*").alias(name))))  # one row each
@@ -91,6 +91,29 @@ def detect_drift(observed: Iterable[str], declared: Iterable[str], ignored: Iter
     return {"NEW": sorted(o - d - i), "MISSING": sorted(d - o), "IGNORED": sorted(o & i)}
 
 
+def declared_columns(entities: Mapping[str, Sequence[str]]) -> set[str]:
+    """All columns that some entity declares."""
+    return {c for columns in entities.values() for c in columns}
+
+
+def source_columns(columns: Iterable[str], added: Iterable[str]) -> list[str]:
+    """Columns that came with the source, without those that the ingest adds."""
+    own = set(added)
+    return [c for c in columns if c not in own]
+
+
+def drift_summary(drift: Mapping[str, Sequence[str]]) -> str:
+    """One line of text on a drift."""
+    said = [f"{len(drift[s])} {s.lower()} ({', '.join(drift[s])})" for s in ("NEW", "MISSING", "IGNORED") if drift.get(s)]
+    return "; ".join(said) or "no drift"
+
+
+def missing_columns_message(entity: str, columns: Iterable[str], declared: Iterable[str]) -> str | None:
+    """What to say if a declared column is not there; None if all are."""
+    gone = sorted(set(declared) - set(columns))
+    return f"{entity} lacks {', '.join(gone)}" if gone else None
+
+
 def drift_rows(run_id: str, env: str, drift: Mapping[str, Sequence[str]], at, rescued: tuple[str, int] | None = None) -> list[tuple]:
     rows = [(run_id, env, c, status, None, at) for status in ("NEW", "MISSING", "IGNORED") for c in drift.get(status, ())]
     return rows + ([(run_id, env, rescued[0], "RESCUED", rescued[1], at)] if rescued else [])
@@ -117,6 +140,23 @@ def file_metrics(rows: DataFrame, seconds: float) -> DataFrame:
     )
 
 
+#: One row for each entity and run.
+METRICS_SCHEMA = (
+    "master_run_id string, env string, layer string, entity string, run_mode string, load_type string, run_status string, rows_read long, inserted_rows long, updated_rows long, "
+    "matched_rows long, unchanged_rows long, closed_rows long, quarantined_rows long, duplicate_rows long, skew_ratio double, start_ts timestamp, end_ts timestamp, duration_secs double, throughput_rows_per_sec double, notes string"
+)
+
+
 def run_metrics(n_read: int, inserted: int, updated: int, seconds: float) -> dict[str, float]:
     """Derived counters of a run."""
-    return {"read_rows": n_read, "inserted_rows": inserted, "updated_rows": updated, "matched_rows": updated, "unchanged_rows": max(n_read - inserted - updated, 0), "throughput_rows_per_sec": round(n_read / seconds, 2) if seconds else 0}
+    return {"read_rows": n_read, "inserted_rows": inserted, "updated_rows": updated, "matched_rows": updated, "unchanged_rows": max(n_read - inserted - updated, 0), "throughput_rows_per_sec": round(n_read / seconds, 2) if seconds else 0.0}
+
+
+def metrics_row(run_id: str, env: str, layer: str, entity: str, mode: str, status: str, began, seconds: float, found: Mapping, notes: str | None) -> tuple:
+    """A row of METRICS_SCHEMA from what a step has found."""
+    n = lambda k: int(found.get(k) or 0)
+    m = run_metrics(n("read"), n("inserted"), n("updated"), seconds)
+    return (
+        run_id, env, layer, entity, mode, found.get("load_type"), status, m["read_rows"], m["inserted_rows"], m["updated_rows"], m["matched_rows"], m["unchanged_rows"], n("closed"), n("quarantined"), n("duplicates"),
+        float(found.get("skew_ratio") or 0.0), began, began + datetime.timedelta(seconds=seconds), round(seconds, 3), float(m["throughput_rows_per_sec"]), notes,
+    )

@@ -38,6 +38,10 @@ class EntityRules:
         return cls(**known)
 
 
+#: A column of the typed values, made once and dropped by `typed` and `untyped`.
+TYPED = "_typed"
+
+
 def _names(flags: Sequence[tuple[Column, str]]) -> Column:
     """Array of the names whose condition holds, without repeats."""
     if not flags:
@@ -46,19 +50,23 @@ def _names(flags: Sequence[tuple[Column, str]]) -> Column:
 
 
 def record_violations(df: DataFrame, rules: EntityRules) -> DataFrame:
-    """Add error_columns (fatal) and repaired_columns (repairable): nulls first, then patterns, then allowed values."""
+    """Add error_columns (fatal) and repaired_columns (repairable): nulls first, then patterns, then allowed values; and the typed values."""
+    if rules.dates or rules.casts:
+        values = {c: parse_date(F.col(c).cast("string")) for c in rules.dates} | {c: F.col(c).try_cast(k) for c, k in rules.casts.items()}
+        df = df.withColumn(TYPED, F.struct(*[v.alias(c) for c, v in values.items()]))
+    date = lambda c: F.col(f"{TYPED}.{c}") if c in rules.dates else parse_date(F.col(c).cast("string"))
     checks = [(F.col(c).isNull(), c) for c in rules.columns]
     checks += [(~F.col(c).cast("string").rlike(p), c) for c, p in rules.patterns.items()]
     checks += [(F.col(c).isNotNull() & ~F.col(c).isin(*v), c) for c, v in rules.allowed.items()]
     tier = lambda c: rules.severity.get(c, FATAL)
     fatal = [x for x in checks if tier(x[1]) == FATAL]
     for c in rules.dates:  # a text that passes its pattern but is no date
-        fatal.append((F.col(c).isNotNull() & parse_date(F.col(c).cast("string")).isNull(), f"unparseable_{c}"))
-    for c, kind in rules.casts.items():
-        fatal.append((F.col(c).isNotNull() & F.col(c).try_cast(kind).isNull(), f"cast_{c}"))
+        fatal.append((F.col(c).isNotNull() & date(c).isNull(), f"unparseable_{c}"))
+    for c in rules.casts:
+        fatal.append((F.col(c).isNotNull() & F.col(f"{TYPED}.{c}").isNull(), f"cast_{c}"))
     for later, earlier in rules.not_before:
         if later in rules.columns and earlier in rules.columns:
-            fatal.append((parse_date(F.col(later).cast("string")) < parse_date(F.col(earlier).cast("string")), f"{later}_before_{earlier}"))
+            fatal.append((date(later) < date(earlier), f"{later}_before_{earlier}"))
     return df.withColumns({"error_columns": _names(fatal), "repaired_columns": _names([x for x in checks if tier(x[1]) == REPAIRABLE])})
 
 
@@ -73,12 +81,17 @@ def assess(df: DataFrame, rules: EntityRules) -> DataFrame:
 
 
 def typed(df: DataFrame, rules: EntityRules) -> DataFrame:
-    """Valid rows with dates and numbers in their types."""
-    changed = {c: parse_date(F.col(c).cast("string")) for c in rules.dates} | {c: F.col(c).try_cast(k) for c, k in rules.casts.items()}
-    return df.withColumns(changed) if changed else df
+    """Assessed rows with dates and numbers in their types."""
+    changed = {c: F.col(f"{TYPED}.{c}") for c in [*rules.dates, *rules.casts]}
+    return df.withColumns(changed).drop(TYPED) if changed else df
+
+
+def untyped(df: DataFrame) -> DataFrame:
+    """Assessed rows as they came."""
+    return df.drop(TYPED)
 
 
 def route(df: DataFrame, rules: EntityRules) -> tuple[DataFrame, DataFrame]:
     """(valid rows, typed; quarantined rows as they came)."""
     rows = assess(df, rules)
-    return typed(rows.where("is_valid"), rules), rows.where("NOT is_valid")
+    return typed(rows.where("is_valid"), rules), untyped(rows.where("NOT is_valid"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import os
+import shutil
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
@@ -27,7 +29,7 @@ class RunConfig:
         if mode not in MODES:
             raise ValueError(f"unknown run mode: {mode}")
         if mode == "full_refresh" and not allow_full_refresh:
-            raise ValueError("full_refresh is not allowed here")
+            raise ValueError("this environment does not permit rebuilding everything")
         day = lambda x: x if isinstance(x, datetime.date) else datetime.date.fromisoformat(x) if x else None
         start, end = day(spec.get("start_date")), day(spec.get("end_date"))
         if mode in ("backfill", "replay"):
@@ -56,6 +58,13 @@ class RunConfig:
             return F.to_date(ingestion_col).between(F.lit(self.start), F.lit(self.end))
         return F.lit(True) if self.mode == "full_refresh" else None
 
+    def bounds(self, mark: datetime.datetime | None = None) -> tuple[datetime.datetime | None, datetime.datetime | None]:
+        """[low, high) of the ingestion times that this run reads, None for no bound: what it derives, it replaces there, so it can be run again."""
+        if self.is_windowed:
+            midnight = datetime.time()
+            return datetime.datetime.combine(self.start, midnight), datetime.datetime.combine(self.end + datetime.timedelta(days=1), midnight)
+        return (None if self.mode == "full_refresh" or mark is None else mark + datetime.timedelta(microseconds=1)), None
+
     def load_type(self, target_was_empty: bool, n_read: int) -> str:
         if not n_read:
             return "NO_DATA"
@@ -96,18 +105,41 @@ def without_ingested(files: DataFrame, ingested: DataFrame) -> DataFrame:
 
 def backfill_scope(n_in_window: int, n_known: int) -> str:
     """HAS_WORK, NOTHING_MISSING or WINDOW_MATCHED_NOTHING."""
-    if n_in_window < 0 or n_known < 0:
-        raise ValueError("counts cannot be negative")
+    if min(n_in_window, n_known) < 0:
+        raise ValueError(f"a number of files below zero: {n_in_window}, {n_known}")
     return "WINDOW_MATCHED_NOTHING" if not n_in_window else "NOTHING_MISSING" if n_known >= n_in_window else "HAS_WORK"
 
 
 def source_state(n_source: int, n_landed: int) -> str:
     """SOURCE_POPULATED, SOURCE_DRAINED or NO_DATA_ANYWHERE."""
-    if n_source < 0 or n_landed < 0:
-        raise ValueError("counts cannot be negative")
+    if min(n_source, n_landed) < 0:
+        raise ValueError(f"a number of files below zero: {n_source}, {n_landed}")
     return "SOURCE_POPULATED" if n_source else "SOURCE_DRAINED" if n_landed else "NO_DATA_ANYWHERE"
 
 
+class LocalSource:
+    """A source of files in a folder of this machine; another source has the same two methods."""
+
+    def __init__(self, folder: str):
+        self.folder = folder
+
+    def names(self) -> list[str]:
+        return sorted(os.listdir(self.folder)) if os.path.isdir(self.folder) else []
+
+    def fetch(self, name: str, to: str) -> None:
+        shutil.copyfile(f"{self.folder}/{name}", to)
+
+
+def acquire(source, landing: str) -> list[str]:
+    """Fetch what the source has and the landing folder (of this machine) has not, by name; the names. A file appears there whole or not at all."""
+    os.makedirs(landing, exist_ok=True)
+    wanted = plan_acquisition(source.names(), os.listdir(landing))
+    for name in wanted:
+        source.fetch(name, f"{landing}/.{name}.part")
+        os.replace(f"{landing}/.{name}.part", f"{landing}/{name}")
+    return wanted
+
+
 def plan_acquisition(listed: Iterable[str], landed: Iterable[str]) -> list[str]:
     """CSV files of the source that have not landed, by name."""
     return sorted({x for x in listed if x.endswith((".csv", ".csv.gz"))} - set(landed))
