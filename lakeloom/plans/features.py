@@ -34,8 +34,8 @@ def customer(customers: DataFrame, orders: DataFrame, sales: DataFrame, as_of) -
         F.coalesce(rounded(sample_variance(F.col("s")), 2), F.lit(0.0)).alias("order_variance"),
     )
     sold = people.join(made, "customer_id")
-    codes = sold.join(F.broadcast(_codes(sold, "segment", "segment_encoded")).withColumnRenamed("segment", "_s"), F.col("segment").eqNullSafe(F.col("_s")))
-    codes = codes.join(F.broadcast(_codes(sold, "region", "region_encoded")).withColumnRenamed("region", "_r"), F.col("region").eqNullSafe(F.col("_r")))
+    codes = sold.join(_codes(sold, "segment", "segment_encoded").withColumnRenamed("segment", "_s"), F.col("segment").eqNullSafe(F.col("_s")))
+    codes = codes.join(_codes(sold, "region", "region_encoded").withColumnRenamed("region", "_r"), F.col("region").eqNullSafe(F.col("_r")))
     return codes.select("customer_id", F.lit(as_of).cast("date").alias("feature_date"), *made.columns[1:], "segment_encoded", "region_encoded")
 
 

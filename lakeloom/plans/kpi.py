@@ -18,32 +18,40 @@ def _cents(c: str):
     return F.sum(F.col(c).cast("decimal(22,2)"))
 
 
-def overall_rank(df: DataFrame, column: str) -> DataFrame:
-    """Each distinct value of a number column with its rank over all rows, largest first, nulls last.
+def places(df: DataFrame, column: str, by: Sequence[str] = (), descending: bool = True) -> DataFrame:
+    """Each distinct value of a number column (within `by`) with its rank over all rows: `place`. Nulls come last, or first if ascending.
 
     Values fall into buckets by their logarithm (a monotone function with at most some 80,000 values, whatever the input); only the
-    buckets' counts meet in one task, and ranks within a bucket are taken by bucket.
+    buckets' counts of one group meet in one task, and ranks within a bucket are taken by bucket.
     """
     x = F.col(column).cast("double")
     bucket = F.coalesce(F.floor(F.signum(x) * F.log1p(F.abs(x)) * 512).cast("int"), F.lit(-(10**9)))
-    amounts = df.groupBy(column).agg(F.count("*").alias("_n")).withColumn("_bucket", bucket)
-    before = W.orderBy(F.desc("_bucket")).rowsBetween(W.unboundedPreceding, -1)
-    above = amounts.groupBy("_bucket").agg(F.sum("_n").alias("_n")).select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_above"))
-    inside = W.partitionBy("_bucket").orderBy(F.desc_nulls_last(column)).rowsBetween(W.unboundedPreceding, -1)
+    amounts = df.groupBy(*by, column).agg(F.count("*").alias("_n")).withColumn("_bucket", bucket)
+    down = F.desc if descending else F.asc
+    before = W.partitionBy(*by).orderBy(down("_bucket")).rowsBetween(W.unboundedPreceding, -1)
+    above = amounts.groupBy(*by, "_bucket").agg(F.sum("_n").alias("_n")).select(*[F.col(c).alias(f"_{c}") for c in by], F.col("_bucket").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_above"))
+    inside = W.partitionBy(*by, "_bucket").orderBy(F.desc_nulls_last(column) if descending else F.asc_nulls_first(column)).rowsBetween(W.unboundedPreceding, -1)
     placed = amounts.withColumn("_within", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-    return placed.join(F.broadcast(above), "_bucket").select(column, (F.col("_above") + F.col("_within") + 1).alias("place"))
+    on = [F.col("_bucket") == F.col("_of"), *[F.col(c).eqNullSafe(F.col(f"_{c}")) for c in by]]
+    return placed.join(above, on).select(*by, column, (F.col("_above") + F.col("_within") + 1).cast("int").alias("place"))
+
+
+def with_place(df: DataFrame, name: str, column: str, by: Sequence[str] = (), descending: bool = True) -> DataFrame:
+    """Add a rank over the rows of `by`. Rows meet their value's rank in a join, whose skew (a value of very many rows) AQE splits."""
+    found = places(df, column, by, descending).select(*[F.col(c).alias(f"_{c}") for c in [*by, column]], F.col("place").alias(name))
+    return df.join(found, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in [*by, column]]).select(*df.columns, name)
 
 
 def customer_kpi(mart: DataFrame) -> DataFrame:
     """Ranks within region, segment and all customers, with the summaries of region and segment."""
-    by = lambda k: F.rank().over(W.partitionBy(k).orderBy(F.desc_nulls_last("total_sales")))
     region = mart.groupBy(F.col("region").alias("_r")).agg(_cents("total_sales").cast("double").alias("region_sales"), _cents("total_profit").cast("double").alias("region_profit"), F.count_distinct("customer_id").alias("region_total_customers"))
     segment = mart.groupBy(F.col("segment").alias("_s")).agg(
         _cents("total_sales").cast("double").alias("segment_sales"), _cents("total_profit").cast("double").alias("segment_profit"), F.count("customer_id").alias("segment_total_customers"),
         F.avg("recency_days").alias("avg_recency"), F.avg("customer_lifetime_days").alias("avg_lifetime"),
     )
-    ranked = overall_rank(mart, "total_sales").select(F.col("total_sales").alias("_t"), F.col("place").cast("int").alias("overall_sales_rank"))
-    rows = mart.withColumns({"region_sales_rank": by("region"), "segment_sales_rank": by("segment")}).join(ranked, F.col("total_sales").eqNullSafe(F.col("_t")))
+    rows = with_place(mart, "overall_sales_rank", "total_sales")
+    rows = with_place(rows, "region_sales_rank", "total_sales", ["region"])
+    rows = with_place(rows, "segment_sales_rank", "total_sales", ["segment"])
     rows = rows.join(region, F.col("region") == F.col("_r"), "left").join(segment, F.col("segment") == F.col("_s"), "left")
     own = ["customer_id", "customer_name", "segment", "region", "total_sales", "total_profit", "total_orders", "avg_order_value", "recency_days", "customer_lifetime_days", "discount_sensitivity", "profitability_flag"]
     return rows.select(*own, "overall_sales_rank", "region_sales_rank", "segment_sales_rank", *region.columns[1:], *segment.columns[1:])
@@ -51,9 +59,9 @@ def customer_kpi(mart: DataFrame) -> DataFrame:
 
 def product_insights(mart: DataFrame) -> DataFrame:
     """Best and worst ranks within the category (no sales: worst first) and shares of the category."""
-    w = W.partitionBy("category")
     totals = mart.groupBy(F.col("category").alias("_c")).agg(_cents("total_sales").cast("double").alias("_sales"), F.sum("total_quantity").cast("double").alias("_quantity"), F.sum(F.col("profit_margin").cast("decimal(22,4)")).cast("double").alias("_m"), F.count("profit_margin").alias("_n"))
-    rows = mart.withColumns({"top_in_category_rank": F.rank().over(w.orderBy(F.desc_nulls_last("total_sales"))), "bottom_in_category_rank": F.rank().over(w.orderBy(F.asc_nulls_first("total_sales")))})
+    rows = with_place(mart, "top_in_category_rank", "total_sales", ["category"])
+    rows = with_place(rows, "bottom_in_category_rank", "total_sales", ["category"], descending=False)
     rows = rows.join(totals, F.col("category") == F.col("_c"), "left")
     own = ["product_id", "product_name", "category", "sub_category", "total_sales", "total_profit", "profit_margin", "sales_velocity", "total_quantity", "loss_making_flag", "top_in_category_rank", "bottom_in_category_rank"]
     return rows.select(
@@ -67,6 +75,11 @@ def daily(mart: DataFrame) -> DataFrame:
     return mart.groupBy("order_date").agg(_cents("total_sales").cast("double").alias("total_sales"), _cents("total_profit").cast("double").alias("total_profit")).withColumn("profit_margin", ratio(F.col("total_profit"), F.col("total_sales"), 4))
 
 
+def daily_ordered(mart: DataFrame) -> DataFrame:
+    """The daily view in the order of its days."""
+    return daily(mart).orderBy("order_date")
+
+
 def business(mart: DataFrame, top: int = 10, by_product: bool = False) -> DataFrame:
     """Seven daily metrics in long form. Growth and repeats are relative to each day.
 
@@ -205,3 +218,28 @@ def run_timing(metrics: DataFrame) -> DataFrame:
     rows = metrics.join(F.broadcast(last), F.col("master_run_id") == F.col("_run"))
     seconds = F.unix_timestamp(F.max("end_ts")) - F.unix_timestamp(F.min("start_ts"))
     return rows.groupBy("master_run_id", "layer").agg(seconds.alias("seconds"), F.sum("rows_read").cast("long").alias("rows_read"), F.count("*").alias("entities"))
+
+
+def row_flow(checks: DataFrame) -> DataFrame:
+    """Where the bronze rows of each entity went in the latest reconciled run, from the details of its check rows: entity, source, target, n."""
+    rows = checks.where("check_name = 'reconciliation'")
+    rows = rows.join(F.broadcast(_latest(rows, "checked_at")), F.col("master_run_id") == F.col("_run"))  # one row
+    said = F.from_json("details", "silver_rows long, quarantine_rows long, audit_rows long, superseded_rows long")
+    flows = [("silver_rows", "silver"), ("quarantine_rows", "quarantine"), ("audit_rows", "duplicates"), ("superseded_rows", "superseded")]
+    links = F.array(*[F.struct(F.lit("bronze").alias("source"), F.lit(to).alias("target"), F.col(f"_said.{c}").alias("n")) for c, to in flows])
+    return rows.withColumn("_said", said).select(F.col("subject").alias("entity"), F.inline(links)).where("n IS NOT NULL")
+
+
+def reliability(metrics: DataFrame) -> DataFrame:
+    """Runs of each layer and entity: how many, how many failed or found nothing, their share that did not fail, rows read and mean seconds."""
+    return metrics.groupBy("layer", "entity").agg(
+        F.count("*").alias("runs"), F.count_if(F.col("run_status") == "FAILED").alias("failed"), F.count_if(F.col("run_status") == "SKIPPED").alias("skipped"),
+        rounded(F.count_if(F.col("run_status") != "FAILED") * 100.0 / F.count("*"), 2).alias("success_pct"), F.sum("rows_read").alias("rows_read"), rounded(F.avg("duration_secs"), 2).alias("avg_seconds"),
+    )
+
+
+def run_history(metrics: DataFrame) -> DataFrame:
+    """Wall clock of each layer in each run, not summed over entities, with the rows and the worst status of its entities."""
+    seconds = F.unix_timestamp(F.max("end_ts")) - F.unix_timestamp(F.min("start_ts"))
+    worst = F.when(F.count_if(F.col("run_status") == "FAILED") > 0, "FAILED").when(F.count_if(F.col("run_status") == "SUCCESS") > 0, "SUCCESS").otherwise("SKIPPED")
+    return metrics.groupBy("master_run_id", "layer").agg(F.count("*").alias("entities"), F.sum("rows_read").alias("rows_read"), seconds.alias("seconds"), worst.alias("status"))

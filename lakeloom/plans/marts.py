@@ -53,7 +53,7 @@ DAILY_GRAIN = ["order_date", "customer_id", "product_id", "region", "segment", "
 def sales_daily(customers: DataFrame, products: DataFrame, orders: DataFrame, sales: DataFrame) -> DataFrame:
     """Sales by day, customer, product and their attributes; facts without current dimension rows are left out.
 
-    Facts are summed to (order, product) by the fact join's own key before the dimensions are joined.
+    Facts meet orders by order, then the attributes of the dimensions; the aggregation sums on each side of its one shuffle.
     """
     facts = sales.join(orders.select("order_id", "customer_id", "order_date", "ship_mode"), "order_id")
     facts = facts.join(current(products).select("product_id", "category", "sub_category"), "product_id").join(current(customers).select("customer_id", "region", "segment"), "customer_id")

@@ -18,6 +18,7 @@ from lakeloom.functions.hashing import row_hash
 from lakeloom.functions.numbers import rounded
 from lakeloom.functions.text import clean_strings as clean
 from lakeloom.functions.text import conform_values as conform
+from lakeloom.functions.text import rename_columns
 from lakeloom.operators import dedup, merge, observe, rules, scans, scd2
 from lakeloom.plans import features, kpi, marts, medallion
 from lakeloom.sources.store import TableStore, inventory
@@ -85,7 +86,7 @@ class Entities:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         t = lambda name: table(spark, sf_dir, name)
-        nations = t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))  # 25 nations
+        self.nations = nations = t("nation").join(F.broadcast(t("region")), F.col("n_regionkey") == F.col("r_regionkey"))  # 25 nations
         self.customers = t("customer").join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey")).select(
             F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"), F.col("c_mktsegment").alias("segment"), F.col("n_name").alias("country"), F.col("r_name").alias("region")
         )
@@ -221,28 +222,30 @@ def dedup_losers(spark, sf_dir):
 
 
 @query("scd2_timeline", """SELECT user_id, event_type, ts AS effective_from, lead(ts) OVER w - INTERVAL 1 MICROSECOND AS effective_to, lead(ts) OVER w IS NULL AS is_current
-    FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)""", entities=False)
+    FROM (SELECT user_id, ts, max(event_type) AS event_type FROM events GROUP BY 1, 2) WINDOW w AS (PARTITION BY user_id ORDER BY ts)""", entities=False)
 def scd2_timeline(spark, sf_dir):
-    return scd2.timeline(table(spark, sf_dir, "events").select("user_id", "event_type", F.col("ts").alias("effective_from")), ["user_id"])
+    return scd2.timeline(table(spark, sf_dir, "events").select("user_id", "event_type", F.col("ts").alias("effective_from")), ["user_id"], "event_type")
 
 
-_VERSIONS = """v AS (SELECT user_id, event_type, ts AS effective_from, sha256(user_id || '||' || event_type) AS h FROM events),
-    d AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY effective_from DESC) AS n FROM v WHERE effective_from < TIMESTAMP '2024-01-15'),
-    dim AS (SELECT user_id, event_type, h, effective_from, CASE WHEN n = 1 THEN NULL ELSE TIMESTAMP '2024-01-14 12:00:00' END AS effective_to, n = 1 AS is_current FROM d WHERE n <= 2 AND user_id % 11 <> 0),
-    s AS (SELECT user_id, event_type, h, effective_from FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY effective_from) AS n FROM v WHERE effective_from >= TIMESTAMP '2024-01-15') WHERE n = 1 AND user_id % 7 <> 0)"""
+#: A dimension of all events before a day, and each user's last version since that day; five users are only in one of the two.
+_VERSIONS = """v AS (SELECT user_id, event_type, ts AS effective_from, sha256(user_id || '||' || event_type) AS h FROM (SELECT user_id, ts, max(event_type) AS event_type FROM events GROUP BY 1, 2)),
+    dim AS (SELECT user_id, event_type, h, effective_from, lead(effective_from) OVER w - INTERVAL 1 MICROSECOND AS effective_to, lead(effective_from) OVER w IS NULL AS is_current
+            FROM v WHERE effective_from < TIMESTAMP '2024-01-15' WINDOW w AS (PARTITION BY user_id ORDER BY effective_from)
+        UNION ALL SELECT -1 - r_regionkey, 'view', sha256((-1 - r_regionkey) || '||view'), TIMESTAMP '2024-01-02', NULL, true FROM region),
+    s AS (SELECT user_id, event_type, h, effective_from FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY effective_from DESC) AS n FROM v WHERE effective_from >= TIMESTAMP '2024-01-15') WHERE n = 1
+        UNION ALL SELECT -11 - r_regionkey, 'click', sha256((-11 - r_regionkey) || '||click'), TIMESTAMP '2024-01-20' FROM region)"""
 
 
 def _dimension(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    """Two versions of most users before a day, and the first version of most users from that day."""
-    from pyspark.sql.window import Window as W
-
-    v = scd2.prepare_versions(table(spark, sf_dir, "events").select("user_id", "event_type", "ts"), ["user_id"], ["event_type"], "h", "ts")
+    region = table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("r"))
+    user = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
     day = F.lit("2024-01-15").cast("timestamp")
-    n = F.row_number().over(W.partitionBy("user_id").orderBy(F.desc("effective_from")))
-    old = v.where(F.col("effective_from") < day).withColumn("n", n).where((F.col("n") <= 2) & (F.col("user_id") % 11 != 0))
-    dim = old.withColumns({"effective_to": F.when(F.col("n") > 1, F.lit("2024-01-14 12:00:00").cast("timestamp")), "is_current": F.col("n") == 1}).drop("n")
-    m = F.row_number().over(W.partitionBy("user_id").orderBy("effective_from"))
-    return dim, v.where(F.col("effective_from") >= day).withColumn("n", m).where((F.col("n") == 1) & (F.col("user_id") % 7 != 0)).drop("n")
+    gone = region.select((-1 - F.col("r")).alias("user_id"), F.lit("view").alias("event_type"), F.lit("2024-01-02").cast("timestamp").alias("ts"))
+    fresh = region.select((-11 - F.col("r")).alias("user_id"), F.lit("click").alias("event_type"), F.lit("2024-01-20").cast("timestamp").alias("ts"))
+    versions = lambda df: scd2.prepare_versions(df, ["user_id"], ["event_type"], "h", "ts")
+    dim = scd2.timeline(versions(user.where(F.col("ts") < day).unionByName(gone)), ["user_id"], "event_type")
+    last = user.where(F.col("ts") >= day).groupBy("user_id").agg(F.max(F.struct("ts", "event_type")).alias("v")).select("user_id", "v.event_type", "v.ts")
+    return dim, versions(last.unionByName(fresh))
 
 
 @query("scd2_apply", f"""WITH {_VERSIONS}
@@ -262,6 +265,18 @@ def soft_delete(spark, sf_dir):
     return scd2.soft_delete(dim, source, ["user_id"], datetime.datetime(2024, 2, 1))
 
 
+@query("validity_overlaps", f"""WITH {_VERSIONS}, o AS (SELECT user_id, effective_from, effective_to FROM dim WHERE is_current IS NOT NULL UNION ALL SELECT user_id, effective_from - INTERVAL 2 HOUR, CASE WHEN event_type = 'view' THEN effective_from - INTERVAL 3 HOUR ELSE effective_from END FROM s),
+    k AS (SELECT *, lag(effective_to) OVER w AS before, lag(effective_from) OVER w IS NOT NULL AS follows FROM o WINDOW w AS (PARTITION BY user_id ORDER BY effective_from, effective_to NULLS LAST))
+    SELECT user_id, effective_from, effective_to, CASE WHEN effective_to <= effective_from THEN 'covers no time' ELSE 'overlaps' END AS fault FROM k
+    WHERE effective_to <= effective_from OR (follows AND (before IS NULL OR effective_from <= before))""", entities=False)
+def validity_overlaps(spark, sf_dir):
+    """The dimension with a planted version of each user, some of which end before they begin."""
+    dim, source = _dimension(spark, sf_dir)
+    start = F.col("effective_from")
+    planted = source.select("user_id", (start - F.expr("INTERVAL 2 HOURS")).alias("effective_from"), F.when(F.col("event_type") == "view", start - F.expr("INTERVAL 3 HOURS")).otherwise(start).alias("effective_to"))
+    return scd2.overlaps(dim.select("user_id", "effective_from", "effective_to").unionByName(planted), ["user_id"])
+
+
 _MERGED = """t AS (SELECT order_id, ship_mode, order_date, md5(ship_mode) AS h FROM f_orders WHERE order_id % 3 <> 0),
     s AS (SELECT order_id, m AS ship_mode, order_date, md5(m) AS h FROM (SELECT *, CASE WHEN order_id % 4 = 0 THEN 'CHANGED' ELSE ship_mode END AS m FROM f_orders) WHERE order_id % 2 = 0)"""
 
@@ -331,27 +346,134 @@ def layer_inventory(spark, sf_dir):
 
 
 def _folder(spark: SparkSession) -> str:
-    top = spark.conf.get("spark.checkpoint.dir", None) or f"file:///tmp/lakeloom-checkpoints-{spark.sparkContext.applicationId}"
+    """A new folder that all executors share; a local master may do without the setting."""
+    top = spark.conf.get("spark.checkpoint.dir", None)
+    if not top:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        top = f"file:///tmp/lakeloom-checkpoints-{spark.sparkContext.applicationId}"
     return f"{top.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-@query("stream_ingest", """SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_name, CASE WHEN customer_id % 2 = 0 THEN segment END AS segment, region FROM customers WHERE customer_id % 3 <> 2""")
-def stream_ingest(spark, sf_dir):
-    """Two landings, the second with its columns in another order and one missing, each read by one run of the stream."""
-    top = _folder(spark)
-    c = Entities(spark, sf_dir).customers.where("customer_id % 3 <> 2")
-    first = c.where("customer_id % 2 = 0").select(F.col("customer_id").alias("Customer ID"), F.col("customer_name").alias("Customer Name"), F.col("segment").alias("Segment"), F.col("region").alias("Region"))
-    second = c.where("customer_id % 2 = 1").select(F.col("region").alias("Region"), F.col("customer_name").alias("Customer Name"), F.col("customer_id").alias("Customer ID"))
-    for i, rows in enumerate((first, second)):
-        rows.write.mode("append").option("header", True).csv(f"{top}/landing")
+def _written(spark: SparkSession, layer: str, name: str, df: DataFrame) -> DataFrame:
+    """The table as its readers get it: views and dashboards read marts that were written."""
+    store = TableStore(spark, _folder(spark))
+    store.replace(layer, name, df)
+    return store.read(layer, name)
+
+
+_CSV = {"customer_id": "Customer ID", "customer_name": "Customer Name", "segment": "Segment", "region": "Region"}
+
+
+def _land(rows: DataFrame, top: str, columns: list[str]) -> None:
+    """Write rows as files of the landing folder, under the source's names."""
+    rows.select(*[F.col(c).alias(_CSV[c]) for c in columns]).write.mode("append").option("header", True).csv(f"{top}/landing")
+
+
+def _two_landings(spark, sf_dir, top: str) -> None:
+    """Even customers, then the odd ones with their columns in another order and one missing, each read by one run of the stream."""
+    c = Entities(spark, sf_dir).customers
+    for i, columns in enumerate((["customer_id", "customer_name", "segment", "region"], ["region", "customer_name", "customer_id"])):
+        _land(c.where(f"customer_id % 2 = {i}"), top, columns)
         ingest.ingest(spark, f"{top}/landing", f"{top}/raw", f"{top}/check", {}, f"run{i}", datetime.datetime(2024, 1, 1 + i))
+
+
+@query("stream_ingest", """SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_name, CASE WHEN customer_id % 2 = 0 THEN segment END AS segment, region FROM customers""")
+def stream_ingest(spark, sf_dir):
+    _two_landings(spark, sf_dir, top := _folder(spark))
+    return ingest.raw_table(spark, f"{top}/raw").select("customer_id", "customer_name", "segment", "region")
+
+
+@query("ingest_metadata", """SELECT 'run' || (customer_id % 2) AS master_run_id, TIMESTAMP '2024-01-01' + to_days(CAST(customer_id % 2 AS INTEGER)) AS bronze_ingestion_ts, DATE '2024-01-01' + CAST(customer_id % 2 AS INTEGER) AS ingestion_date,
+    count(*) AS n, count(*) AS with_file FROM customers GROUP BY 1, 2, 3""")
+def ingest_metadata(spark, sf_dir):
+    _two_landings(spark, sf_dir, top := _folder(spark))
+    known = F.col("source_file_path").endswith(F.col("source_file_name")) & (F.col("source_file_size") > 0) & F.col("source_file_modified").isNotNull()
+    return ingest.raw_table(spark, f"{top}/raw").groupBy("master_run_id", "bronze_ingestion_ts", "ingestion_date").agg(F.count("*").alias("n"), F.count_if(known).alias("with_file"))
+
+
+@query("backfill_after_ingest", """SELECT CAST(customer_id AS VARCHAR) AS customer_id, customer_name, segment, region FROM customers""")
+def backfill_after_ingest(spark, sf_dir):
+    """Even customers by the stream, then the others by a backfill under the same run, and a second one of its window that finds nothing new."""
+    top, today = _folder(spark), datetime.date.today()
+    c = Entities(spark, sf_dir).customers
+    _land(c.where("customer_id % 2 = 0"), top, list(_CSV))
+    ingest.ingest(spark, f"{top}/landing", f"{top}/raw", f"{top}/check", {}, "run", datetime.datetime(2024, 1, 1))
+    ingested = ingest.landed_files(spark, f"{top}/landing")
+    ingested.write.parquet(f"{top}/known")
+    _land(c.where("customer_id % 2 = 1"), top, list(_CSV))
+    for _ in range(2):
+        ingest.backfill(spark, f"{top}/landing", f"{top}/raw", f"{top}/check", {}, "run", today - datetime.timedelta(2), today + datetime.timedelta(2), spark.read.parquet(f"{top}/known"))
     return ingest.raw_table(spark, f"{top}/raw").select("customer_id", "customer_name", "segment", "region")
 
 
+@query("rescued_rows", """SELECT region, count(*) AS n, count(*) FILTER (customer_id % 7 = 0) AS rescued FROM customers GROUP BY region""")
+def rescued_rows(spark, sf_dir):
+    """Every seventh line has a value too many for its header."""
+    top = _folder(spark)
+    c = Entities(spark, sf_dir).customers
+    line = F.concat_ws(",", "customer_id", "region", F.when(F.col("customer_id") % 7 == 0, "one too many"))
+    # A separator that does not occur, and no quotes: each line is written as it is.
+    c.select(line.alias("Customer ID,Region")).write.option("header", True).option("sep", "\u0001").option("quote", "\u0000").csv(f"{top}/landing")
+    ingest.ingest(spark, f"{top}/landing", f"{top}/raw", f"{top}/check", {}, "run", datetime.datetime(2024, 1, 1))
+    rows = ingest.raw_table(spark, f"{top}/raw")
+    region = F.coalesce("region", F.split_part(F.col(ingest.RESCUED), F.lit(","), F.lit(2)))
+    return rows.groupBy(region.alias("region")).agg(F.count("*").alias("n"), F.count_if(F.col(ingest.RESCUED).isNotNull()).alias("rescued"))
+
+
+@query("entity_projection", """SELECT l_orderkey AS order_id, l_partkey AS product_id, l_linenumber AS line, l_suppkey AS supplier_id, 'run' AS master_run_id FROM lineitem""", entities=False)
+def entity_projection(spark, sf_dir):
+    """Columns renamed by the map or sanitised, then one entity's of them; the others stay behind."""
+    raw = rename_columns(table(spark, sf_dir, "lineitem").toDF(*[f"{c[2:].title()} {i % 2}" for i, c in enumerate(table(spark, sf_dir, "lineitem").columns)]), {"Orderkey 0": "order_id", "Partkey 1": "product_id"})
+    raw = raw.withColumnsRenamed({"linenumber_1": "line", "suppkey_0": "supplier_id"}).withColumn("master_run_id", F.lit("run"))
+    return ingest.entity_rows(raw, ["order_id", "product_id", "line", "supplier_id"], ["master_run_id"])
+
+
+@query("landing_files", """SELECT r_regionkey AS file, 'part.csv' AS kind, 1 AS known, 'HAS_WORK' AS scope, 'SOURCE_POPULATED' AS source FROM region WHERE r_regionkey > 0
+    UNION ALL SELECT r_regionkey, 'part.csv', 0, 'HAS_WORK', 'SOURCE_POPULATED' FROM region WHERE r_regionkey = 0""", entities=False)
+def landing_files(spark, sf_dir):
+    """Files of the landing folder, which of them are known, and what the planners say of them. One file for each region."""
+    top = _folder(spark)
+    region = table(spark, sf_dir, "region")
+    region.write.partitionBy("r_regionkey").option("header", True).csv(f"{top}/landing")
+    files = ingest.landed_files(spark, f"{top}/landing/*")
+    at = F.regexp_extract("path", r"r_regionkey=(\d+)", 1).cast("long")
+    ingested = files.where(at > 0)
+    left = scans.without_ingested(files.withColumn("file_name", F.col("path")), ingested.withColumn("file_name", F.col("path"))).select(F.col("path").alias("_left"))
+    n, known = files.count(), ingested.count()
+    rows = files.join(left, F.col("path") == F.col("_left"), "left")
+    kind = F.when(F.col("file_name").endswith(".csv") & (F.col("size") > 0), "part.csv")
+    return rows.select(at.alias("file"), kind.alias("kind"), F.col("_left").isNull().cast("int").alias("known"), F.lit(scans.backfill_scope(n, known)).alias("scope"), F.lit(scans.source_state(n, known)).alias("source"))
+
+
+@query("plan_acquisition", """SELECT DISTINCT 'f' || lpad(CAST(c_custkey % 100 AS VARCHAR), 2, '0') || CASE WHEN c_custkey % 2 = 0 THEN '.csv' ELSE '.csv.gz' END AS name FROM customer WHERE c_custkey % 100 >= 40""", entities=False)
+def plan_acquisition(spark, sf_dir):
+    """Names of the source (a hundred) less those that have landed and those of other kinds."""
+    k = F.col("c_custkey") % 100
+    names = [r[0] for r in table(spark, sf_dir, "customer").select(F.concat(F.lit("f"), F.lpad(k.cast("string"), 2, "0"), F.when(k % 2 == 0, ".csv").otherwise(".csv.gz"))).distinct().collect()]
+    listed = [*names, *[f"{n}.tmp" for n in names], "notes.txt"]
+    return spark.createDataFrame([(n,) for n in scans.plan_acquisition(listed, [n for n in names if n < "f40"])], "name string")
+
+
+@query("full_refresh_read", """SELECT event_type, count(*) AS n, max(ts) AS last_ts FROM events GROUP BY 1""", entities=False)
+def full_refresh_read(spark, sf_dir):
+    run = scans.RunConfig.of({"run_mode": "full_refresh"}, allow_full_refresh=True)
+    return scans.read_for_run(table(spark, sf_dir, "events"), run, "ts", datetime.datetime(2024, 1, 20)).groupBy("event_type").agg(F.count("*").alias("n"), F.max("ts").alias("last_ts"))
+
+
+_AT = datetime.datetime(2024, 1, 1)
+
+
+def _bronze(spark, sf_dir) -> TableStore:
+    store = TableStore(spark, _folder(spark), buckets=8)
+    store.bootstrap()
+    store.replace("bronze", "orders", raw_orders(Entities(spark, sf_dir)).withColumn("bronze_ingestion_ts", F.lit(_AT)))
+    return store
+
+
 def _silver(spark, sf_dir) -> TableStore:
-    store, at = TableStore(spark, _folder(spark)), datetime.datetime(2024, 1, 1)
-    store.replace("bronze", "orders", raw_orders(Entities(spark, sf_dir)).withColumn("bronze_ingestion_ts", F.lit(at)))
-    medallion.silver(store, ORDER_RULES, scans.RunConfig.of({}), "run", at)
+    store = _bronze(spark, sf_dir)
+    medallion.silver(store, ORDER_RULES, scans.RunConfig.of({}), "run", _AT)
     return store
 
 
@@ -360,12 +482,177 @@ def silver_orders(spark, sf_dir):
     return _silver(spark, sf_dir).read("silver", "orders").select("order_id", "customer_id", "order_date", "ship_date", "ship_mode")
 
 
+@query("silver_quarantine", f""", {_ASSESSED} SELECT n, order_date, ship_date, array_to_string(errors, ',') AS errors, 'run' AS master_run_id FROM named WHERE len(errors) > 0""")
+def silver_quarantine(spark, sf_dir):
+    return _silver(spark, sf_dir).read("quarantine", "orders_dirty").select("n", "order_date", "ship_date", F.array_join("error_columns", ",").alias("errors"), "master_run_id")
+
+
 @query("silver_reconciled", f""", {_ASSESSED} SELECT 'orders' AS entity, count(*) AS bronze_rows, count(*) FILTER (len(errors) = 0) AS silver_rows, count(*) FILTER (len(errors) > 0) AS quarantine_rows, CAST(0 AS BIGINT) AS audit_rows,
     CAST(0 AS BIGINT) AS superseded_rows, count(*) AS accounted_rows, true AS balanced FROM named""")
 def silver_reconciled(spark, sf_dir):
     return medallion.reconcile(_silver(spark, sf_dir), ORDER_RULES)
 
 
+@query("silver_metrics", f""", {_ASSESSED} SELECT 'SILVER' AS layer, 'orders' AS entity, 'incremental' AS run_mode, 'INITIAL_LOAD' AS load_type, 'SUCCESS' AS run_status, count(*) AS rows_read, count(*) FILTER (len(errors) = 0) AS inserted_rows, CAST(0 AS BIGINT) AS updated_rows,
+        count(*) FILTER (len(errors) > 0) AS unchanged_rows, count(*) FILTER (len(errors) > 0) AS quarantined_rows, CAST(0 AS BIGINT) AS duplicate_rows FROM named
+    UNION ALL SELECT 'SILVER', 'orders', 'incremental', 'NO_DATA', 'SKIPPED', 0, 0, 0, 0, 0, 0""")
+def silver_metrics(spark, sf_dir):
+    """The metrics of a run, and of a second one that finds nothing."""
+    store = _silver(spark, sf_dir)
+    medallion.silver(store, ORDER_RULES, scans.RunConfig.of({}), "run2", _AT)
+    return store.read("metrics", "etl_run_metrics").select("layer", "entity", "run_mode", "load_type", "run_status", "rows_read", "inserted_rows", "updated_rows", "unchanged_rows", "quarantined_rows", "duplicate_rows")
+
+
+class _Stopped(TableStore):
+    """A store whose write number `stop` fails."""
+
+    stop = 0
+
+    def _commit(self, *args, **about) -> None:
+        self.stop -= 1
+        if self.stop == 0:
+            raise OSError("stopped")
+        super()._commit(*args, **about)
+
+
+@query("silver_rerun", f""", {_ASSESSED}, k AS (SELECT unnest(range(1, 9)) AS stopped_at)
+    SELECT stopped_at, 2 * count(*) AS bronze_rows, count(*) FILTER (len(errors) = 0) AS silver_rows, 2 * count(*) FILTER (len(errors) > 0) AS quarantine_rows, count(*) FILTER (len(errors) = 0) AS audit_rows, true AS balanced FROM named, k GROUP BY 1""")
+def silver_rerun(spark, sf_dir):
+    """Silver of orders that all came twice, stopped at each of its writes in turn and run again."""
+    rows, out = raw_orders(Entities(spark, sf_dir)).withColumn("bronze_ingestion_ts", F.lit(_AT)), None
+    rows = _written(spark, "bronze", "orders", rows.unionByName(rows.withColumn("bronze_ingestion_ts", F.lit(_AT + datetime.timedelta(hours=1)))))
+    for k in range(1, 9):
+        store = _Stopped(spark, _folder(spark), buckets=4)
+        store.replace("bronze", "orders", rows)
+        store.stop = k
+        try:
+            medallion.silver(store, ORDER_RULES, scans.RunConfig.of({}), "run", _AT)
+        except OSError:
+            medallion.silver(store, ORDER_RULES, scans.RunConfig.of({}), "run", _AT)
+        found = medallion.reconcile(store, ORDER_RULES).select(F.lit(k).cast("long").alias("stopped_at"), "bronze_rows", "silver_rows", "quarantine_rows", "audit_rows", "balanced")
+        out = found if out is None else out.unionByName(found)
+    return out
+
+
+CUSTOMER_RULES = rules.EntityRules(name="customers", keys=("customer_id",), columns=("customer_id", "customer_name", "segment", "region"), severity={"segment": rules.REPAIRABLE, "region": rules.REPAIRABLE})
+
+
+def _gold(spark, sf_dir) -> TableStore:
+    """Customers in two batches: all, then those of the first segment again with another region. Silver, dimension and fact take up what is new."""
+    store, c = TableStore(spark, _folder(spark), buckets=8), Entities(spark, sf_dir).customers.drop("country")
+    moved = c.where("segment = 'BUILDING'").withColumn("region", F.lit("MOVED"))
+    for i, rows in enumerate((c, moved)):
+        at, run = _AT + datetime.timedelta(days=i), f"run{i}"
+        store.append("bronze", "customers", rows.withColumn("bronze_ingestion_ts", F.lit(at)))
+        medallion.silver(store, CUSTOMER_RULES, scans.RunConfig.of({}), run, at)
+        for _ in range(2):  # the second time finds nothing new
+            medallion.load_dimension(store, "customers", "customers", ["customer_id"], ["customer_name", "segment", "region"], scans.RunConfig.of({}), run, at)
+            medallion.load_fact(store, "homes", "customers", ["customer_id"], ["customer_id", "region"], scans.RunConfig.of({}), run, at)
+    return store
+
+
+@query("gold_dimension", """SELECT customer_id, segment, region, TIMESTAMP '2024-01-01' AS effective_from, CASE WHEN segment = 'BUILDING' THEN TIMESTAMP '2024-01-01 23:59:59' END AS effective_to, segment <> 'BUILDING' AS is_current FROM customers
+    UNION ALL SELECT customer_id, segment, 'MOVED', TIMESTAMP '2024-01-02', NULL, true FROM customers WHERE segment = 'BUILDING'""")
+def gold_dimension(spark, sf_dir):
+    return _gold(spark, sf_dir).read("gold", "dim_customers").select("customer_id", "segment", "region", "effective_from", "effective_to", "is_current")
+
+
+@query("gold_fact", """SELECT customer_id, CASE WHEN segment = 'BUILDING' THEN 'MOVED' ELSE region END AS region, CASE WHEN segment = 'BUILDING' THEN TIMESTAMP '2024-01-02' ELSE TIMESTAMP '2024-01-01' END AS gold_ingestion_ts FROM customers""")
+def gold_fact(spark, sf_dir):
+    return _gold(spark, sf_dir).read("gold", "facts_homes").select("customer_id", "region", "gold_ingestion_ts")
+
+
+@query("run_reliability", """, n AS (SELECT count(*) AS n, count(*) FILTER (segment = 'BUILDING') AS m FROM customers)
+    SELECT 'SILVER' AS layer, 'customers' AS entity, CAST(2 AS BIGINT) AS runs, CAST(0 AS BIGINT) AS failed, CAST(0 AS BIGINT) AS skipped, 100.0::DOUBLE AS success_pct, CAST(n + m AS BIGINT) AS rows_read FROM n
+    UNION ALL SELECT 'GOLD', e, 4, 0, 2, 100.0, CAST(n + m AS BIGINT) FROM n, (VALUES ('dim_customers'), ('facts_homes')) AS t(e)""")
+def run_reliability(spark, sf_dir):
+    return kpi.reliability(_gold(spark, sf_dir).read("metrics", "etl_run_metrics")).drop("avg_seconds")
+
+
+@query("run_history", """, n AS (SELECT count(*) AS n, count(*) FILTER (segment = 'BUILDING') AS m FROM customers)
+    SELECT run AS master_run_id, layer, CAST(CASE layer WHEN 'GOLD' THEN 4 ELSE 1 END AS BIGINT) AS entities, CAST(CASE run WHEN 'run0' THEN n ELSE m END * CASE layer WHEN 'GOLD' THEN 2 ELSE 1 END AS BIGINT) AS rows_read, 'SUCCESS' AS status
+    FROM n, (VALUES ('run0'), ('run1')) AS r(run), (VALUES ('SILVER'), ('GOLD')) AS l(layer)""")
+def run_history(spark, sf_dir):
+    return kpi.run_history(_gold(spark, sf_dir).read("metrics", "etl_run_metrics")).drop("seconds")
+
+
+@query("reconciliation_checks", f""", {_ASSESSED} SELECT 'reconciliation' AS check_name, 'orders' AS subject, CAST(count(*) AS DOUBLE) AS observed_value, CAST(count(*) AS DOUBLE) AS expected_value, true AS passed FROM named""")
+def reconciliation_checks(spark, sf_dir):
+    store = _silver(spark, sf_dir)
+    medallion.run_reconciliation_checks(store, [ORDER_RULES], "run", "dev", _AT)
+    return store.read("metrics", "data_quality_checks").select("check_name", "subject", "observed_value", "expected_value", "passed")
+
+
+@query("dashboard_row_flow", f""", {_ASSESSED}, c AS (SELECT count(*) FILTER (len(errors) = 0) AS good, count(*) FILTER (len(errors) > 0) AS bad FROM named)
+    SELECT 'orders' AS entity, 'bronze' AS source, target, CAST(CASE target WHEN 'silver' THEN good WHEN 'quarantine' THEN bad ELSE 0 END AS BIGINT) AS n FROM c, (VALUES ('silver'), ('quarantine'), ('duplicates'), ('superseded')) AS t(target)""")
+def dashboard_row_flow(spark, sf_dir):
+    store = _silver(spark, sf_dir)
+    medallion.run_reconciliation_checks(store, [ORDER_RULES], "run", "dev", _AT)
+    return kpi.row_flow(store.read("metrics", "data_quality_checks"))
+
+
+@query("recorded_drift", """SELECT * FROM (VALUES ('o_orderstatus', 'NEW'), ('o_priority', 'MISSING'), ('o_totalprice', 'IGNORED')) AS t(column_name, drift_status)""", entities=False)
+def recorded_drift(spark, sf_dir):
+    """Drift of a table against the columns that two entities declare, as it is recorded."""
+    store = TableStore(spark, _folder(spark))
+    declared = {"orders": ["o_orderkey", "o_orderdate", "o_priority"], "customers": ["o_custkey", "o_orderpriority"]}
+    medallion.record_drift(store, table(spark, sf_dir, "orders"), declared, ["o_totalprice"], "run", "dev", _AT)
+    return store.read("metrics", "schema_drift").select("column_name", "drift_status")
+
+
+# --- Tables of the store ------------------------------------------------------------------------------------------------------
+
+
+@query("table_append", """SELECT r_regionkey AS id, r_name AS name, NULL AS note FROM region UNION ALL SELECT n_nationkey, n_name, 'later' FROM nation""", entities=False)
+def table_append(spark, sf_dir):
+    """An append with a column that the table had not."""
+    store = TableStore(spark, _folder(spark))
+    store.append("gold", "places", table(spark, sf_dir, "region").select(F.col("r_regionkey").cast("long").alias("id"), F.col("r_name").alias("name")))
+    store.append("gold", "places", table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"), F.lit("later").alias("note")))
+    return store.read("gold", "places")
+
+
+@query("table_layout", """SELECT * FROM (VALUES (1, 'bootstrap', '9'), (2, 'bootstrap again', '0'), (3, 'create', '0'), (4, 'converge', 'ALTER_CLUSTER_BY'), (5, 'converge again', 'NOTHING'), (6, 'missing', 'missing columns: nothing'), (7, 'views', 'many')) AS t(step, what, said)""", entities=False)
+def table_layout(spark, sf_dir):
+    """What the store says of its folders, an empty table of a schema, its clustering, and views kept for other sessions."""
+    store, said = TableStore(spark, _folder(spark)), []
+    said += [("bootstrap", len(store.bootstrap())), ("bootstrap again", len(store.bootstrap()))]
+    store.create("gold", "orders", table(spark, sf_dir, "orders").schema)
+    said.append(("create", store.read("gold", "orders").count()))
+    store.append("gold", "orders", table(spark, sf_dir, "orders"))
+    said += [("converge", store.converge("gold", "orders", ("o_orderkey",), allow_rewrite=True)), ("converge again", store.converge("gold", "orders", ("o_orderkey",)))]
+    try:
+        store.converge("gold", "orders", ("nothing",))
+    except ValueError as e:
+        said.append(("missing", e))
+    store.define_view("many", "SELECT count(*) AS n FROM gold__orders")
+    said.append(("views", ",".join(v for v in store.open_views() if spark.table(v).first()[0] == table(spark, sf_dir, "orders").count())))
+    return spark.createDataFrame([(i, what, str(x)) for i, (what, x) in enumerate(said, 1)], "step int, what string, said string")
+
+
+@query("snapshot_upsert", """SELECT 'run' || (event_id // 1000) AS master_run_id, max(event_id) AS last_event FROM events GROUP BY 1""", entities=False)
+def snapshot_upsert(spark, sf_dir):
+    """Snapshots of runs, each recorded twice: the second one replaces the first."""
+    store = TableStore(spark, _folder(spark), buckets=4)
+    rows = table(spark, sf_dir, "events").groupBy(F.concat(F.lit("run"), F.floor(F.col("event_id") / 1000)).alias("master_run_id")).agg(F.min("event_id").alias("last_event"), F.max("event_id").alias("_last"))
+    store.create("metrics", "snapshots", rows.drop("_last").schema)
+    for column in ("last_event", "_last"):
+        medallion.upsert(store, "metrics", "snapshots", rows.select("master_run_id", F.col(column).alias("last_event")), ["master_run_id"])
+    return store.read("metrics", "snapshots")
+
+
+@query("feature_history", """, d AS (SELECT today - 30 AS day, 0 AS again FROM as_of UNION ALL SELECT today, 0 FROM as_of)
+    SELECT customer_id, product_id, day AS feature_date, count(DISTINCT order_id) FILTER (order_date >= day - 30) AS orders_last_30d FROM f_sales JOIN f_orders USING (order_id), d GROUP BY 1, 2, 3""")
+def feature_history(spark, sf_dir):
+    """Features of two dates, the last one recorded twice: a row for each key and date."""
+    e = Entities(spark, sf_dir)
+    store = TableStore(spark, _folder(spark), buckets=8)
+    for day in (e.today - datetime.timedelta(30), e.today, e.today):
+        rows = features.customer_product(e.bare_orders, e.sales, day).select("customer_id", "product_id", F.lit(day).alias("feature_date"), "orders_last_30d")
+        medallion.record_features(store, "customer_product", rows, ["customer_id", "product_id"])
+    return store.read("features", "customer_product")
+
+
 # --- Observation ------------------------------------------------------------------------------------------------------------
 
 
@@ -419,9 +706,12 @@ def file_metrics(spark, sf_dir):
     return observe.file_metrics(rows, 8.0)
 
 
-@query("skew_stats")
+@query("skew_stats", """WITH p AS (SELECT (l_orderkey * l_linenumber) % 8 AS part, count(*) AS n FROM lineitem GROUP BY 1)
+    SELECT count(*) AS partitions, CAST(sum(n) AS BIGINT) AS "rows", round(CAST(max(n) AS DOUBLE) / avg(n), 2) AS skew_ratio FROM p""", entities=False)
 def skew_stats(spark, sf_dir):
-    return observe.partition_skew(table(spark, sf_dir, "lineitem").select("l_orderkey"))
+    """Rows dealt by a number, so that the partitions are known."""
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return observe.partition_skew(rows.repartitionById(8, (F.col("l_orderkey") * F.col("l_linenumber") % 8).cast("int")))
 
 
 @query("schema_drift", """SELECT * FROM (VALUES ('o_extra', 'NEW'), ('o_gone', 'MISSING'), ('o_orderpriority', 'IGNORED')) AS t(column_name, drift_status)""", entities=False)
@@ -438,12 +728,16 @@ _C360 = """c360 AS (
         round(CAST(sum(sales) AS DOUBLE) / nullif(CAST(count(DISTINCT o.order_id) AS DOUBLE), 0), 2) AS avg_order_value, max(order_date) AS last_order_date,
         CAST((SELECT today FROM as_of) - max(order_date) AS INT) AS recency_days, CAST(max(order_date) - min(order_date) AS INT) AS customer_lifetime_days,
         CAST(sum(discount) AS DOUBLE) / nullif(count(discount), 0) AS discount_sensitivity, CASE WHEN sum(profit) > 0 THEN 1 ELSE 0 END AS profitability_flag
-    FROM customers c LEFT JOIN f_orders o ON c.customer_id = o.customer_id AND o.order_id % 5 <> 0 LEFT JOIN f_sales s ON o.order_id = s.order_id
+    FROM (SELECT customer_id, customer_name, segment, region FROM customers UNION ALL SELECT -1 - n_nationkey, 'Prospect of ' || n_name, 'PROSPECT', r_name FROM nation JOIN region ON n_regionkey = r_regionkey) c
+    LEFT JOIN f_orders o ON c.customer_id = o.customer_id LEFT JOIN f_sales s ON o.order_id = s.order_id
     GROUP BY c.customer_id, customer_name, segment, region)"""
 
 
 def _c360(e: Entities) -> DataFrame:
-    return marts.customer_360(e.customers, e.bare_orders.where("order_id % 5 <> 0"), e.sales, e.today)
+    """The mart over all customers, and one more without orders for each nation."""
+    n = e.nations
+    prospects = n.select((-1 - F.col("n_nationkey")).cast("long").alias("customer_id"), F.concat(F.lit("Prospect of "), "n_name").alias("customer_name"), F.lit("PROSPECT").alias("segment"), F.col("r_name").alias("region"))
+    return marts.customer_360(e.customers.drop("country").unionByName(prospects), e.bare_orders, e.sales, e.today)
 
 
 @query("mart_customer_360", f", {_C360} SELECT * FROM c360")
@@ -456,11 +750,13 @@ _PERF = """perf AS (
         CASE WHEN total_profit < 0 THEN 1 ELSE 0 END AS loss_making_flag
     FROM (SELECT p.product_id, product_name, category, sub_category, CAST(sum(sales) AS DOUBLE) AS total_sales, CAST(sum(profit) AS DOUBLE) AS total_profit, CAST(sum(quantity) AS BIGINT) AS total_quantity,
             CAST(sum(discount) AS DOUBLE) / nullif(count(discount), 0) AS avg_discount, max(order_date) - min(order_date) AS days
-        FROM products p LEFT JOIN f_sales s ON p.product_id = s.product_id AND s.product_id % 10 <> 0 LEFT JOIN f_orders o ON s.order_id = o.order_id GROUP BY p.product_id, product_name, category, sub_category))"""
+        FROM (SELECT * FROM products UNION ALL SELECT -1 - n_nationkey, 'Unsold of ' || n_name, 'UNSOLD', 'none' FROM nation) p LEFT JOIN f_sales s ON p.product_id = s.product_id LEFT JOIN f_orders o ON s.order_id = o.order_id GROUP BY p.product_id, product_name, category, sub_category))"""
 
 
 def _perf(e: Entities) -> DataFrame:
-    return marts.product_performance(e.products, e.bare_orders, e.sales.where("product_id % 10 <> 0"))
+    """The mart over all products, and one more without sales for each nation."""
+    unsold = e.nations.select((-1 - F.col("n_nationkey")).cast("long").alias("product_id"), F.concat(F.lit("Unsold of "), "n_name").alias("product_name"), F.lit("UNSOLD").alias("category"), F.lit("none").alias("sub_category"))
+    return marts.product_performance(e.products.unionByName(unsold), e.bare_orders, e.sales)
 
 
 @query("mart_product_performance", f", {_PERF} SELECT * EXCLUDE (days) FROM perf")
@@ -549,7 +845,7 @@ _CKPI = """ckpi AS (
 
 @query("customer_kpi", f", {_C360}, {_CKPI} SELECT * FROM ckpi")
 def customer_kpi(spark, sf_dir):
-    return kpi.customer_kpi(_c360(Entities(spark, sf_dir)))
+    return kpi.customer_kpi(_written(spark, "mart", "customer_360", _c360(Entities(spark, sf_dir))))
 
 
 @query("product_insights_kpi", f""", {_PERF} SELECT product_id, product_name, category, sub_category, total_sales, total_profit, profit_margin, sales_velocity, total_quantity, loss_making_flag,
@@ -557,7 +853,7 @@ def customer_kpi(spark, sf_dir):
     round(total_sales / nullif(cs, 0) * 100, 2) AS sales_contribution_pct, round(total_quantity / nullif(cq, 0) * 100, 2) AS quantity_contribution_pct, cm AS category_avg_margin
     FROM perf LEFT JOIN (SELECT category, CAST(sum(CAST(total_sales AS DECIMAL(22,2))) AS DOUBLE) AS cs, CAST(sum(total_quantity) AS DOUBLE) AS cq, CAST(sum(CAST(profit_margin AS DECIMAL(22,4))) AS DOUBLE) / count(profit_margin) AS cm FROM perf GROUP BY 1) USING (category)""")
 def product_insights_kpi(spark, sf_dir):
-    return kpi.product_insights(_perf(Entities(spark, sf_dir)))
+    return kpi.product_insights(_written(spark, "mart", "product_performance", _perf(Entities(spark, sf_dir))))
 
 
 _DKPI = """dkpi AS (SELECT order_date, s AS total_sales, p AS total_profit, round(p / nullif(s, 0), 4) AS profit_margin
@@ -569,6 +865,11 @@ def metrics_daily_kpi(spark, sf_dir):
     return kpi.daily(_daily(Entities(spark, sf_dir)))
 
 
+@query("metrics_daily_ordered", f", {_DAILY}, {_DKPI} SELECT * FROM dkpi ORDER BY order_date")
+def metrics_daily_ordered(spark, sf_dir):
+    return kpi.daily_ordered(_daily(Entities(spark, sf_dir)))
+
+
 @query("metrics_business_kpi", f""", {_DAILY}, {_DKPI},
     d AS (SELECT order_date, round(CAST(sum(CAST(avg_discount AS DECIMAL(22,10))) AS DOUBLE) / count(avg_discount), 8) AS x FROM mart GROUP BY 1),
     v AS (SELECT customer_id, order_date, lag(order_date) OVER (PARTITION BY customer_id ORDER BY order_date) AS prev FROM (SELECT DISTINCT customer_id, order_date FROM mart)),
@@ -581,7 +882,7 @@ def metrics_daily_kpi(spark, sf_dir):
     UNION ALL SELECT order_date, 'repeat_customer_rate', round(CAST(again * 100.0 AS DOUBLE) / nullif(CAST(n AS DOUBLE), 0), 2) FROM k
     UNION ALL SELECT order_date, 'top_10_product_sales_pct', round(top * 100.0 / nullif(total_sales, 0), 2) FROM t JOIN dkpi USING (order_date)""")
 def metrics_business_kpi(spark, sf_dir):
-    return kpi.business(_daily(Entities(spark, sf_dir)))
+    return kpi.business(_written(spark, "mart", "sales_daily", _daily(Entities(spark, sf_dir))))
 
 
 @query("kpi_run_snapshot", f""", {_C360}, {_DAILY}, {_DKPI}

@@ -52,8 +52,15 @@ def test_ingest_to_gold(spark, tmp_path):
         ingest.entity_rows(raw, ["nothing"])
     known = ingest.landed_files(spark, landing).where("file_name <> 'a.csv'")
     day = datetime.date.today()
-    assert ingest.backfill(spark, landing, table + "_again", NAMES, "r3", day - datetime.timedelta(2), day + datetime.timedelta(2), known, t2) == 1
+    window = day - datetime.timedelta(2), day + datetime.timedelta(2)
+    assert ingest.backfill(spark, landing, table + "_again", check, NAMES, "r3", *window, known, t2) == 1
     assert ingest.raw_table(spark, table + "_again").count() == 3
+    # Under the run of an ingest, and again for the same window: nothing is written over.
+    assert ingest.backfill(spark, landing, table, check + "2", NAMES, "r1", *window, known, t2) == 1 and ingest.raw_table(spark, table).count() == 10
+    write(tmp_path / "landing" / "d.csv", HEADER, ROWS[:1])
+    assert ingest.backfill(spark, landing, table, check + "2", NAMES, "r1", *window, known, t2) == 1 and ingest.raw_table(spark, table).count() == 11
+    assert ingest.backfill(spark, landing, table, check + "2", NAMES, "r1", *window, known, t2) == 0
+    raw = spark.createDataFrame(raw.where(F.col("master_run_id").isin("r1", "r2")).dropDuplicates(["row_id"]).collect(), raw.schema)
     assert ingest.checkpoint_for("c", datetime.date(2024, 1, 1), datetime.date(2024, 1, 2)) == "c_backfill_20240101_20240102"
 
     store = TableStore(spark, str(tmp_path / "store"))
@@ -69,7 +76,7 @@ def test_ingest_to_gold(spark, tmp_path):
     assert store.read("quarantine", "sales_dirty").first()["error_columns"] == ["sales", "cast_sales"]
     assert medallion.dimension(store, "customers", store.read("silver", "customers"), ["customer_id"], ["customer_name", "segment"], t1) == {"inserted": 3, "closed": 0}
     assert store.read("gold", "dim_customers").where("customer_id = 'c4'").first()["segment"] == "Unknown"
-    assert medallion.fact(store, "sales", store.read("silver", "sales"), ["order_id"], ["order_id", "sales", "order_date"], t1) == {"inserted": 4, "updated": 0, "kept": 0}
+    assert medallion.fact(store, "sales", store.read("silver", "sales"), ["order_id"], ["order_id", "sales", "order_date"], t1) == {"inserted": 4, "updated": 0}
 
     # The second batch changes one customer; a rerun of it changes nothing.
     for spec in (CUSTOMERS, SALES):
@@ -95,6 +102,8 @@ def test_ingest_to_gold(spark, tmp_path):
     for _ in range(2):
         medallion.record_snapshot(store, snapshot, schema)
     assert spark.table("kpi_run_snapshot").count() == 1 and spark.table("kpi_run_snapshot").first()["trigger_type"] == "manual"
+    metrics = store.read("metrics", "etl_run_metrics")
+    assert {r["run_status"] for r in metrics.collect()} == {"SUCCESS", "SKIPPED"} and kpi.alert_freshness(metrics, datetime.datetime(2100, 1, 1)).first()[0] > 0
     assert store.vacuum("metrics", "kpi_run_snapshot") >= 1 and store.read("metrics", "kpi_run_snapshot").count() == 1
 
 
@@ -115,6 +124,55 @@ def test_store_and_layout(spark, tmp_path):
         plan_layout((), (), ("a", "a"))
 
 
+def test_merges_touch_only_the_buckets_of_their_keys(spark, tmp_path):
+    from lakeloom.operators import merge
+
+    store = TableStore(spark, str(tmp_path), buckets=8)
+    store.create("gold", "t", spark.createDataFrame([], "k long, v string").schema)
+    rows = lambda ids, v: spark.createDataFrame([(i, v) for i in ids], "k long, v string")
+    assert medallion.upsert(store, "gold", "t", rows(range(200), "a"), ["k"]) == {"inserted": 200, "updated": 0}
+    before = {p["path"] for p in store.manifest("gold", "t")["parts"]}
+    held = store.read("gold", "t")
+    assert len(before) == 8
+    assert medallion.upsert(store, "gold", "t", rows([7], "b"), ["k"]) == {"inserted": 0, "updated": 1}
+    assert len(before & {p["path"] for p in store.manifest("gold", "t")["parts"]}) == 7
+    assert medallion.upsert(store, "gold", "t", rows([1000], "c"), ["k"]) == {"inserted": 1, "updated": 0}
+    got = {r["k"]: r["v"] for r in store.read("gold", "t").collect()}
+    assert got == {i: "a" for i in range(200)} | {7: "b", 1000: "c"} and held.count() == 200
+    assert store.vacuum("gold", "t") == 2 and store.read("gold", "t").count() == 201
+    # An append lies in no bucket, and is taken into them by the next merge.
+    store.append("gold", "t", rows([2000, 2001], "d"))
+    assert medallion.upsert(store, "gold", "t", rows([2000], "e"), ["k"]) == {"inserted": 0, "updated": 1}
+    assert store.read("gold", "t").count() == 203 and store.read("gold", "t").where("v = 'e'").count() == 1
+    with pytest.raises(ValueError):
+        store.rewrite("gold", "t", spark.createDataFrame([("x",)], "k string"), ["k"], lambda t, s: merge.merge(t, s, ["k"]), drop=[merge.ACTION])
+
+
+def test_ranges_are_replaced_without_touching_others(spark, tmp_path):
+    store, day = TableStore(spark, str(tmp_path)), datetime.datetime
+    rows = lambda *days: spark.createDataFrame([(day(2024, 1, d), d) for d in days], "ts timestamp, d int")
+    held = lambda: sorted(r["d"] for r in store.read("audit", "t").collect())
+    assert store.replace_range("audit", "t", rows(1, 2, 3), "ts", None, None) == 3
+    assert store.replace_range("audit", "t", rows(5, 6), "ts", day(2024, 1, 4), None) == 2 and held() == [1, 2, 3, 5, 6]
+    first = store.manifest("audit", "t")["parts"][0]
+    assert store.replace_range("audit", "t", rows(7), "ts", day(2024, 1, 4), None) == 1 and held() == [1, 2, 3, 7]
+    assert store.manifest("audit", "t")["parts"][0] == first
+    assert store.replace_range("audit", "t", rows(), "ts", day(2024, 1, 2), day(2024, 1, 3)) == 0 and held() == [1, 3, 7]
+    assert store.replace_range("audit", "t", rows(9), "ts", None, None) == 1 and held() == [9]
+
+
+def test_writers_that_meet_do_not_lose_rows(spark, tmp_path):
+    from lakeloom.sources.store import WriteConflict
+
+    one, two = TableStore(spark, str(tmp_path)), TableStore(spark, str(tmp_path))
+    one.append("gold", "t", spark.range(3))
+    before = one.manifest("gold", "t")
+    two.append("gold", "t", spark.range(2))
+    with pytest.raises(WriteConflict):
+        one._commit("gold", "t", before, [], spark.range(1).schema)
+    assert one.read("gold", "t").count() == 5
+
+
 def test_jobs_are_all_tried_before_failing():
     seen = []
     with pytest.raises(RuntimeError, match="b: "):

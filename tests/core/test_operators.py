@@ -92,11 +92,44 @@ def test_scd2(spark):
 
 def test_timeline(spark):
     df = spark.createDataFrame([("a", "1", DAY(2024, 1, 1)), ("a", "1", DAY(2024, 1, 2)), ("a", "2", DAY(2024, 1, 3))], "k string, h string, effective_from timestamp")
-    rows = sorted(scd2.timeline(df, ["k"]).collect(), key=lambda r: r["effective_from"])
+    rows = sorted(scd2.timeline(df, ["k"], "h").collect(), key=lambda r: r["effective_from"])
     assert [r["is_current"] for r in rows] == [False, False, True] and rows[0]["effective_to"] == DAY(2024, 1, 1, 23, 59, 59, 999999)
     assert scd2.collapse_unchanged(df, ["k"], "h").count() == 2
 
 
+def test_timeline_of_versions_at_one_instant(spark):
+    rows = [("a", "1", DAY(2024, 1, 1)), ("a", "3", DAY(2024, 1, 2)), ("a", "2", DAY(2024, 1, 2)), ("a", "2", DAY(2024, 1, 2)), ("b", "x", DAY(2024, 1, 1)), ("b", "y", DAY(2024, 1, 1))]
+    df = spark.createDataFrame(rows, "k string, h string, effective_from timestamp")
+    for some in (df, df.repartition(3)):
+        got = scd2.timeline(some, ["k"], "h")
+        assert sorted((r["k"], r["h"], r["is_current"]) for r in got.collect()) == [("a", "1", False), ("a", "3", True), ("b", "y", True)]
+        assert scd2.overlaps(got, ["k"]).count() == 0
+
+
+def test_overlaps(spark):
+    rows = [("a", DAY(2024, 1, 1), DAY(2024, 1, 5)), ("a", DAY(2024, 1, 3), None), ("b", DAY(2024, 1, 1), DAY(2023, 1, 1)), ("c", DAY(2024, 1, 1), None), ("c", DAY(2024, 1, 2), None), ("d", DAY(2024, 1, 1), DAY(2024, 1, 2)), ("d", DAY(2024, 1, 3), None)]
+    got = scd2.overlaps(spark.createDataFrame(rows, "k string, effective_from timestamp, effective_to timestamp"), ["k"])
+    assert sorted((r["k"], r["fault"]) for r in got.collect()) == [("a", "overlaps"), ("b", "covers no time"), ("c", "overlaps")]
+
+
+def test_acquisition(tmp_path):
+    source = tmp_path / "source"
+    source.mkdir()
+    for name in ("b.csv", "a.csv.gz", "c.txt"):
+        (source / name).write_text(name)
+    landing = str(tmp_path / "landing")
+    assert scans.acquire(scans.LocalSource(str(source)), landing) == ["a.csv.gz", "b.csv"]
+    assert scans.acquire(scans.LocalSource(str(source)), landing) == [] and (tmp_path / "landing" / "b.csv").read_text() == "b.csv"
+    assert scans.acquire(scans.LocalSource(str(tmp_path / "nowhere")), landing) == []
+
+
+def test_run_bounds():
+    mark, of = DAY(2024, 1, 5), scans.RunConfig.of
+    assert of({}).bounds(mark) == (DAY(2024, 1, 5, 0, 0, 0, 1), None) and of({}).bounds() == (None, None)
+    assert of({"run_mode": "replay", "start_date": "2024-01-01", "end_date": "2024-01-02"}).bounds(mark) == (DAY(2024, 1, 1), DAY(2024, 1, 3))
+    assert of({"run_mode": "full_refresh"}, allow_full_refresh=True).bounds(mark) == (None, None)
+
+
 def test_run_config():
     of = scans.RunConfig.of
     assert of({}).mode == "incremental" and of({"run_mode": "Backfill", "start_date": "2024-01-01"}, today=datetime.date(2024, 2, 1)).end == datetime.date(2024, 2, 1)
@@ -138,15 +171,30 @@ def test_placeholders_drift_and_metrics(spark):
     with pytest.raises(ValueError):
         observe.placeholder_exposure(df, [])
     assert observe.detect_drift(["a", "n", "i"], ["a", "m"], ["i"]) == {"NEW": ["n"], "MISSING": ["m"], "IGNORED": ["i"]}
+    assert observe.drift_summary({"NEW": ["n"], "MISSING": [], "IGNORED": ["i", "j"]}) == "1 new (n); 2 ignored (i, j)" and observe.drift_summary({}) == "no drift"
+    assert observe.missing_columns_message("e", ["a"], ["b", "a"]) == "e lacks b" and observe.missing_columns_message("e", ["a"], ["a"]) is None
     assert observe.run_metrics(10, 3, 4, 2.0)["unchanged_rows"] == 3 and observe.run_metrics(1, 5, 0, 0)["unchanged_rows"] == 0
     assert observe.partition_skew(spark.range(100).repartition(4)).first()["rows"] == 100
 
 
-def test_overall_rank(spark):
+def test_places(spark):
     from lakeloom.plans import kpi
 
     values = [5.0, 5.0, None, -3.0, 0.0, 1e12, 7.25, 7.26, -0.5, None, 0.01]
-    df = spark.createDataFrame([(v,) for v in values], "v double")
-    known = [v for v in values if v is not None]
-    got = {r["v"]: r["place"] for r in kpi.overall_rank(df, "v").collect()}
-    assert got == {v: sum(x > v for x in known) + 1 for v in known} | {None: len(known) + 1}
+    df = spark.createDataFrame([(g, v) for g in ("x", None) for v in values[: 8 if g else None]], "g string, v double")
+    for by in ([], ["g"]):
+        for down in (True, False):
+            for r in kpi.with_place(df, "place", "v", by, down).collect():
+                peers = [v for g in ("x", None) for v in values[: 8 if g else None] if not by or g == r["g"]]
+                known = [v for v in peers if v is not None]
+                if r["v"] is None:
+                    want = len(known) + 1 if down else 1
+                else:
+                    want = sum(x > r["v"] for x in known) + 1 if down else sum(x < r["v"] for x in known) + 1 + len(peers) - len(known)
+                assert r["place"] == want, (by, down, r)
+
+
+def test_dates_of_odd_texts(spark):
+    texts = ["29/2/2024", "29/2/2023", "1-13-2024", "31 Apr 2024", "5 MAY 2024", "5 Foo 2024", "5 Janu 2024", "2024-1-05", " 2024-01-05", "0000-00-00", "", "99/99/9999", "1/1/24"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    assert [str(r[0]) for r in df.select(parse_date(F.col("t"))).collect()] == ["2024-02-29", "None", "None", "None", "2024-05-05", *["None"] * 8]
