@@ -8,7 +8,9 @@ of greatest total log-odds among those in which nothing below a rejected node is
 The trees are trained when the operator is built, on invented pages (`html_pages`), always with the same result.
 
 Defined results: null or empty html gives the empty text; a page whose best labels reject everything gives the empty text; markup
-that never closes ends with the page; repeated pages are each reported; other columns are not read; an empty table gives no rows.
+that never closes ends with the page, but an element of raw text without an end tag is skipped alone; text of formulas stays, icons
+go; repeated pages are each reported; other columns are not read; an empty table gives no rows. Parsing takes time in proportion to the
+page, however its tags are nested or unbalanced; a very long page takes some tens of times its bytes in one worker.
 """
 
 from __future__ import annotations
@@ -40,8 +42,11 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
 _NAME = re.compile(r"[a-z]+")
 _RAW = {"script", "style", "textarea", "title", "noscript", "iframe", "template", "select", "xmp", "noframes"}
-#: Skipped as well, but these can close themselves and nest.
-_FOREIGN = {"svg", "math"}
+#: Elements of other vocabularies: these can close themselves and nest. Inside some of their own elements html may stand; elsewhere
+#: an opening tag of html ends them.
+_FOREIGN = {"svg": {"foreignobject", "desc", "title"}, "math": {"mtext", "annotation-xml", "mi", "mo", "mn", "ms"}}
+_BREAKS = set("b big blockquote body br center code dd div dl dt em embed h1 h2 h3 h4 h5 h6 head hr i img li listing menu meta nobr ol p pre ruby s small span strong strike sub sup table tt u ul var article section main aside nav header footer form a".split())
+_NOTE = re.compile(r"<(annotation(?:-xml)?)\b[^>]*+>.*?</\1\s*>", re.S | re.I)
 _VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = set("a abbr acronym b bdi bdo big br button cite code data del dfn em font i img input ins kbd label mark meter nobr output q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split())
 #: An opening tag of the key closes an open tag of the values first.
@@ -107,26 +112,57 @@ def closes_itself(attributes: str) -> bool:
 
 
 def foreign_end(html: str, at: int, tag: str, attributes: str) -> int:
-    """Where the svg or math ends whose opening tag ends at `at`: after its own end tag, the last one if some are missing, or with the page."""
+    """Where the svg or math ends whose opening tag ends at `at`: after its own end tag (the last one if some are missing), before an
+    opening tag that cannot stand in it, or with the page."""
     if closes_itself(attributes):
         return at
-    depth, last = 1, len(html)
+    depth, inside, last = 1, 0, len(html)
     while depth and (m := _TOKEN.search(html, at)):
-        at = m.end()
-        if (m[2] or "").lower() == tag:
+        at, name = m.end(), (m[2] or "").lower()
+        if name == tag:
             if m[1]:
                 depth, last = depth - 1, at
             elif not closes_itself(m[3]):
                 depth += 1
+        elif name in _FOREIGN[tag]:
+            inside = max(0, inside - 1) if m[1] else inside + (not closes_itself(m[3]))
+        elif not inside and not m[1] and name in _BREAKS:
+            return m.start()
     return last
 
 
+class Open:
+    """The open elements of a page, with the places of each tag and of the blocks among them."""
+
+    def __init__(self) -> None:
+        self.stack: list[tuple[str, int, bool]] = [("#page", 0, True)]  # tag, node of the nearest block, whether it is a block
+        self.places: dict[str, list[int]] = {}
+        self.blocks = [0]
+
+    def push(self, tag: str, node: int, block: bool) -> None:
+        self.places.setdefault(tag, []).append(len(self.stack))
+        if block:
+            self.blocks.append(len(self.stack))
+        self.stack.append((tag, node, block))
+
+    def pop(self) -> tuple[str, int, bool]:
+        tag, node, block = self.stack.pop()
+        self.places[tag].pop()
+        if block:
+            self.blocks.pop()
+        return tag, node, block
+
+    def last(self, tags) -> int:
+        """Place of the innermost open element of these tags, 0 if there is none."""
+        return max((p[-1] for t in tags if (p := self.places.get(t))), default=0)
+
+
 def parse(html: str) -> Dom:
     """Block elements and text runs of a page."""
-    dom, at = Dom(), 0
-    open_: list[tuple[str, int, bool]] = [("#page", 0, True)]  # tag, node of the nearest block, whether it is a block
+    dom, at, open_ = Dom(), 0, Open()
     run: list[str] = []
     run_links, open_links, inline, skip_head = 0, 0, 0, 0
+    endless: set[str] = set()
 
     def flush() -> None:
         nonlocal run_links, inline
@@ -136,7 +172,7 @@ def parse(html: str) -> Dom:
                 text = unescape(text)
             text = " ".join(text.split())
             if text and not skip_head:
-                dom.add("#text", open_[-1][1], 0, text, min(run_links, len(text)), inline)
+                dom.add("#text", open_.stack[-1][1], 0, text, min(run_links, len(text)), inline)
             run.clear()
         run_links = inline = 0
 
@@ -149,15 +185,27 @@ def parse(html: str) -> Dom:
 
     def close_to(n: int) -> None:
         nonlocal skip_head, open_links
-        while len(open_) > n:
-            tag, _, block = open_[-1]
-            if block:
+        while len(open_.stack) > n:
+            if open_.stack[-1][2]:
                 flush()
-            if tag == "a":
-                open_links -= 1
-            if tag == "head":
-                skip_head -= 1
-            open_.pop()
+            tag, _, _ = open_.pop()
+            open_links -= tag == "a"
+            skip_head -= tag == "head"
+
+    def raw_end(tag: str, attributes: str) -> int:
+        """Where an element of raw text ends whose opening tag ends at `at`."""
+        if tag in endless:
+            return at
+        own = closes_itself(attributes)
+        if own and tag not in ("script", "style"):
+            return at
+        end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(html, at)
+        if not end:
+            endless.add(tag)
+            return at if own or tag not in ("script", "style") else size
+        if own and re.compile(rf"<{tag}[\s/>]", re.I).search(html, at, end.start()):
+            return at
+        return html.find(">", end.start()) + 1 or size
 
     size = len(html)
     while at < size:
@@ -172,24 +220,22 @@ def parse(html: str) -> Dom:
             continue
         tag = tag.lower()
         if m[1]:
-            if tag == "br" or tag == "p" and not any(t == "p" for t, _, _ in open_):
+            i = open_.last((tag,))
+            if tag == "br" or tag == "p" and not i:
                 run.append(" ")
-                continue
-            for i in range(len(open_) - 1, 0, -1):
-                if open_[i][0] == tag:
-                    close_to(i)
-                    break
-                if open_[i][2] and tag in _INLINE:
-                    break
+            elif i and not (tag in _INLINE and i < open_.blocks[-1]):
+                close_to(i)
             continue
         if tag in _FOREIGN:
-            at = foreign_end(html, at, tag, m[3])
-            run.append(" ")
+            end = foreign_end(html, at, tag, m[3])
+            if tag == "math":
+                say(_TOKEN.sub("", _NOTE.sub("", html[at:end])))
+            else:
+                run.append(" ")
+            at = end
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(html, at)
-            at = html.find(">", end.start()) + 1 if end else size
-            at = at or size
+            at = raw_end(tag, m[3])
             run.append(" ")
             continue
         if tag in _INLINE:
@@ -197,35 +243,26 @@ def parse(html: str) -> Dom:
             if tag in _VOID:
                 run.append(" " if tag == "br" else "")
                 continue
-            if tag == "a":
-                open_links += 1
-            open_.append((tag, open_[-1][1], False))
+            open_links += tag == "a"
+            open_.push(tag, open_.stack[-1][1], False)
             continue
         if tag == "html":
             continue
         if tag == "head":
             flush()
             skip_head += 1
-            open_.append((tag, open_[-1][1], True))
+            open_.push(tag, open_.stack[-1][1], True)
             continue
         if skip_head and tag not in _VOID:
-            for i in range(1, len(open_)):
-                if open_[i][0] == "head":
-                    close_to(i)
-                    break
+            close_to(open_.places["head"][0])
         flush()
         if tag in _VOID or tag == "body":
             continue
-        for i in range(len(open_) - 1, 0, -1):  # a block ends an open paragraph, an item the item before it
-            name = open_[i][0]
-            if name == "p" or name in _CLOSES.get(tag, ()):
-                close_to(i)
-                if tag not in ("tr", "li"):
-                    break
-            elif name in _BOUNDS.get(tag, ()) or name in _HOLDS:
-                break
-        node = dom.add(tag, open_[-1][1], names_of(m[3]) if m[3] else 0)
-        open_.append((tag, node, True))
+        ends, bounds = {"p"} | _CLOSES.get(tag, set()), _HOLDS | _BOUNDS.get(tag, set())
+        while (i := open_.last(ends)) > open_.last(bounds):  # a block ends an open paragraph, an item the item before it
+            close_to(i)
+        node = dom.add(tag, open_.stack[-1][1], names_of(m[3]) if m[3] else 0)
+        open_.push(tag, node, True)
     close_to(1)
     flush()
     return dom
@@ -242,7 +279,7 @@ def features(dom: Dom) -> np.ndarray:
     links, inline = np.array(dom.links, float), np.array(dom.n_inline, float)
     tags = np.array([_TAG_NUMBER.get(t, 19) for t in dom.tag], float)
     para = (tags == 1).astype(float)
-    total = np.stack([chars, stops, words, links, np.ones(n), para, leaf.astype(float), inline], 1)
+    total = np.stack([chars, stops, words, links, np.ones(n), para, leaf.astype(float), inline, (tags == 6).astype(float)], 1)
     depth, above, nth, kids, after = np.zeros(n), np.zeros(n, np.int64), np.zeros(n), np.zeros(n), np.zeros(n)
     own = np.array([b | (1 << _JUNK_TAGS[t] if t in _JUNK_TAGS else 0) | (1 if t in ("article", "main") else 0) for b, t in zip(dom.names, dom.tag, strict=True)])
     before = np.cumsum(chars) - chars
@@ -266,7 +303,7 @@ def features(dom: Dom) -> np.ndarray:
     columns = [
         tags, tags[up], depth, np.log1p(c), np.log1p(total[:, 2]), c / total[:, 4], total[:, 3] / np.maximum(c, 1), total[:, 1] / np.maximum(total[:, 2], 1),
         np.log1p(total[:, 4]), total[:, 5], total[:, 6], total[:, 7] / np.maximum(total[:, 6], 1), nth, kids[up], kids, alike, c / np.maximum(c[up], 1), c / np.maximum(largest[up], 1), c / whole, before / whole, (before + c) / whole,
-        c[up] / total[up, 4], total[up, 3] / np.maximum(c[up], 1),
+        c[up] / total[up, 4], total[up, 3] / np.maximum(c[up], 1), c[up] / whole, before[up] / whole, total[up, 8], c[up[up]] / whole, before[up[up]] / whole, total[up[up], 8],
         *bits,
     ]
     return np.stack(columns, 1)

@@ -20,6 +20,13 @@ _JUNK = {
 }
 
 
+#: Words in names that tell nothing, or mislead, of parts of a page and of main text.
+_MISLEADING = {
+    "junk": ["content", "text", "body", "inner", "post", "entry", "page"],
+    "main": ["news-comment-piece", "news-comment-text", "comment-article", "comment-piece", "header-story", "footer-story", "side-story", "promo-article", "share-text", "related-article", "reader-story", "top-news", "review-article", "recent-post"],
+}
+
+
 class Page:
     """One page: html, and the texts of its main blocks in order."""
 
@@ -43,6 +50,8 @@ class Page:
 
     def name(self, kind: str) -> str:
         n = self.r.choice(_JUNK.get(kind, ["box"]))
+        if self.r.random() < 0.15:
+            n += f"-{self.r.choice(_MISLEADING['junk'])}"
         return self.r.choice([f' class="{n}"', f' id="{n}"', f' class="{self.word()} {n}"', f" class='{n} {self.word()}'"])
 
     def keep(self, text: str) -> str:
@@ -58,14 +67,15 @@ class Page:
         return " ".join(words)
 
     def para(self) -> str:
-        text = self.inline(self.keep(self.prose(self.r.choice([1, 1, 2, 3, 5, 8]))))
+        text = self.inline(self.keep(self.prose(self.r.choice([1, 1, 2, 3, 5, 8])) if self.r.random() < 0.9 else self.words(1, 4).capitalize() + "."))
         if self.tidy or self.r.random() < 0.7:
             return f"<p>{text}</p>"
         return self.r.choice([f"<p>{text}", f"<p><b>{text}<br>", f"<div>{text}</div>", f"<p>{text}<br/></p>"])
 
     def links(self, low: int = 2, high: int = 8) -> str:
         close = "</li>" if self.tidy or self.r.random() < 0.5 else ""
-        return "<ul>" + "".join(f'<li><a href="/{self.word()}">{self.words(1, 2)}</a>{close}' for _ in range(self.r.randint(low, high))) + "</ul>"
+        item = lambda: self.words(1, self.r.choice([1, 2, 2, 6])) + self.r.choice(["", "", "", "", ",", ".", "!", ". " + self.word().capitalize() + "."])
+        return "<ul>" + "".join(f'<li><a href="/{self.word()}">{item()}</a>{close}' for _ in range(self.r.randint(low, high))) + "</ul>"
 
     def junk(self, kind: str) -> str:
         r, named = self.r, self.r.random() < 0.9
@@ -108,6 +118,18 @@ class Page:
             return f"<pre>{self.keep(self.words(2, 20))}</pre>"
         return "<dl>" + "".join(f"<dt>{self.keep(self.words(1, 3))}</dt><dd>{self.keep(self.prose(1))}</dd>" for _ in range(r.randint(1, 3))) + "</dl>"
 
+    def items(self) -> str:
+        """A list of the main text; its items may be links, or begin with one."""
+        r = self.r
+        how = r.random()
+        item = lambda: self.keep(self.prose(1))
+        if how > 0.8:
+            item = lambda: f"<a href='/{self.word()}'>{self.keep(self.words(3, 12).capitalize())}</a>"
+        elif how > 0.6:
+            item = lambda: (lambda a, b: self.keep(f"{a} {b}") and f"<a href=/x>{a}</a> {b}")(self.words(1, 3), self.prose(1))
+        tag = r.choice(["ul", "ul", "ol"])
+        return f"<{tag}>" + "".join(f"<li>{item()}</li>" for _ in range(r.randint(2, 7))) + f"</{tag}>"
+
     def main(self) -> str:
         r = self.r
         self.style = r.choice(["plain"] * 6 + ["marks", "loud"])
@@ -121,7 +143,7 @@ class Page:
             elif kind < 0.82:
                 parts.append(f"<h2>{self.keep(self.words(1, 6).capitalize())}</h2>" + self.para())
             elif kind < 0.88:
-                parts.append("<ul>" + "".join(f"<li>{self.keep(self.prose(1))}</li>" for _ in range(r.randint(2, 5))) + "</ul>")
+                parts.append(self.items())
             elif kind < 0.90:
                 parts.append(f"<blockquote><p>{self.keep(self.prose(2))}</p></blockquote>")
             elif kind < 0.94:
@@ -131,9 +153,11 @@ class Page:
         if r.random() < 0.15:
             parts.append(self.junk(r.choice(["share", "comments", "ad", "footer"])))
         text = "".join(parts)
-        n = r.choice(_CONTENT_NAMES)
+        n = r.choice(_CONTENT_NAMES if r.random() < 0.75 else _MISLEADING["main"])
         name = r.choice([f' class="{n}"', f' id="{n}"', ""])
         kind = r.random()
+        if kind < 0.15:
+            return r.choice([text, text, f"<div>{text}</div>"])
         if kind < 0.5:
             return f"<article{r.choice(['', name])}>{text}</article>"
         if kind < 0.7:
