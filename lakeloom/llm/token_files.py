@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from lakeloom.llm.common import buffer_of, drop_path, pieces, same_spans, ship, span_hashes
 
 #: Longest code in bits; ids between two checkpoints; ids of a block, save for longer documents; remembered chunks, and bytes of each at most.
-LONGEST, EVERY, BLOCK_IDS, REMEMBERED, SHORT = 20, 128, 1 << 16, 500_000, 64
+LONGEST, EVERY, BLOCK_IDS, REMEMBERED, SHORT = 20, 128, 1 << 16, 1_500_000, 64
 
 #: Bytes that surely end a character other than white space (of the others, some end a Unicode space).
 _NO_SPACE = np.zeros(256, bool)
@@ -45,8 +45,16 @@ _NO_SPACE_FIRST[0x21:0x7F] = _NO_SPACE_FIRST[0xC3:0xE1] = True
 _BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LETTER = np.isin(np.arange(256), list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"))
 _MARK = np.isin(np.arange(256), list(b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"))
-#: Chunks that may be encoded in one text, divided by line ends, which are tokens of their own there.
-_SIMPLE = re.compile(r" ?\S+")
+
+
+def white_space(raw: np.ndarray) -> np.ndarray:
+    """Flags of bytes that begin a white-space character of UTF-8 text: those of ASCII, and all of Unicode."""
+    padded = np.concatenate([raw, np.zeros(2, np.uint8)])
+    one, two = padded[1:-1], padded[2:]
+    out = _BLANK[raw] | (raw >= 0x1C) & (raw <= 0x1F)
+    out |= (raw == 0xC2) & ((one == 0x85) | (one == 0xA0)) | (raw == 0xE1) & (one == 0x9A) & (two == 0x80) | (raw == 0xE3) & (one == 0x80) & (two == 0x80)
+    out |= (raw == 0xE2) & ((one == 0x80) & ((two <= 0x8A) | np.isin(two, [0xA8, 0xA9, 0xAF])) | (one == 0x81) & (two == 0x9F))
+    return out
 
 
 def cuts(raw: np.ndarray, offsets: np.ndarray, at_marks: bool) -> np.ndarray:
@@ -147,23 +155,42 @@ class Encoder:
             out += self._piece(*buffer_of(column.slice(lo, hi - lo)))
         return out
 
-    def _learn(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ids of all chunks one after another, how many each has, and the place of each chunk in that order."""
-        added = self.added if any(t in x for t in self.added for x in ("".join(chunks),)) else []
-        simple = [bool(_SIMPLE.fullmatch(x)) and not any(t in x for t in added) for x in chunks]
-        together = [x for x, y in zip(chunks, simple, strict=True) if y] if len(self.line_end) == 1 else []
-        ids = np.array(self.model.encode_batch_fast(["\n".join(together)], add_special_tokens=False)[0].ids, np.int32)
-        ends = np.flatnonzero(ids == self.line_end[0])
-        if not together or len(ends) != len(together) - 1:
-            simple, ids, sizes = [False] * len(chunks), ids[:0], ends[:0]
-        else:
-            sizes = np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1
-            ids = np.delete(ids, ends)
-        alone = [e.ids for e in self.model.encode_batch_fast([x for x, y in zip(chunks, simple, strict=True) if not y], add_special_tokens=False)]
+    def _learn(self, raw: np.ndarray, starts: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all chunks one after another, how many each has, and the place of each chunk in that order.
+
+        Chunks without white space, but for a blank before them, are encoded in one text, divided by line ends, which are tokens of their
+        own there.
+        """
+        stop = np.cumsum(n)
+        chars = raw[np.arange(stop[-1]) + np.repeat(starts - stop + n, n)]
+        odd = white_space(chars)
+        odd[(stop - n)[(chars[stop - n] == 0x20) & (n > 1)]] = False
+        below = np.concatenate([[0], np.cumsum(odd)])
+        simple = below[stop] == below[stop - n]
+        text = lambda i: chars[stop[i] - n[i] : stop[i]].tobytes().decode()
+        if len(self.line_end) != 1:
+            simple[:] = False
+        elif any(t.encode() in chars.tobytes() for t in self.added):
+            simple &= np.array([not any(t in text(i) for t in self.added) for i in range(len(n))], bool)
+        ids, sizes = np.empty(0, np.int32), np.empty(0, np.int64)
+        if simple.any():
+            size = n[simple] + 1
+            lines = np.full(int(size.sum()), 0x0A, np.uint8)
+            inside = np.ones(len(lines), bool)
+            inside[np.cumsum(size) - 1] = False
+            lines[inside] = chars[np.repeat(simple, n)]
+            ids = np.array(self.model.encode_batch_fast([lines[:-1].tobytes().decode()], add_special_tokens=False)[0].ids, np.int32)
+            ends = np.flatnonzero(ids == self.line_end[0])
+            if len(ends) == len(size) - 1:
+                sizes = np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1
+                ids = np.delete(ids, ends)
+            else:
+                simple[:], ids = False, ids[:0]
+        alone = [e.ids for e in self.model.encode_batch_fast([text(i) for i in np.flatnonzero(~simple)], add_special_tokens=False)]
         ids = np.concatenate([ids, *(np.array(x, np.int32) for x in alone)])
         sizes = np.concatenate([sizes, np.fromiter(map(len, alone), np.int64, len(alone))])
-        place = np.empty(len(chunks), np.int64)
-        place[np.argsort(~np.array(simple, bool), kind="stable")] = np.arange(len(chunks))
+        place = np.empty(len(n), np.int64)
+        place[np.argsort(~simple, kind="stable")] = np.arange(len(n))
         return ids, sizes, place
 
     def _numbers(self, raw: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -178,8 +205,7 @@ class Encoder:
         new = np.flatnonzero(known < 0)
         known[old[~equal]] = -1
         if len(new):
-            text = [raw[a : a + m].tobytes().decode() for a, m in zip(first[new].tolist(), size[new].tolist(), strict=True)]
-            known[new] = self.remember(hashes[new], raw, first[new], size[new], *self._learn(text))
+            known[new] = self.remember(hashes[new], raw, first[new], size[new], *self._learn(raw, first[new], size[new]))
         equal = n == size[chunk]
         equal[equal] = same_spans(raw, starts[equal], raw, first[chunk[equal]], n[equal])
         return np.where(equal, known[chunk], -1)

@@ -119,3 +119,11 @@ def test_forgetting_changes_nothing(monkeypatch):
     for at in range(0, 400, 40):
         for t, ids in zip(texts[at : at + 40], mine.encode(pa.array(texts[at : at + 40])), strict=True):
             assert model.encode(t, add_special_tokens=False).ids == ids.tolist(), t
+
+
+def test_white_space_is_all_of_unicode():
+    import sys
+
+    for c in map(chr, range(sys.maxunicode + 1)):
+        if not 0xD800 <= ord(c) < 0xE000 and (c.isspace() or ord(c) < 0x3100 or ord(c) % 97 == 0):
+            assert token_files.white_space(np.frombuffer(c.encode(), np.uint8)).any() == c.isspace(), hex(ord(c))
