@@ -6,29 +6,35 @@ for every l. So the first segment of the chain is equal (the key that pairs are
 most one bit (found by sorting under each one-bit mask), and the longer prefixes of the chain are tested before the full
 Hamming distance.
 
-Equal fingerprints are one class from the start. Distinct fingerprints are searched by (segment, value); a value that many
-share is split into chunks and every pair of chunks is a task of bounded size. A task returns a spanning forest of what it
-links, not pairs. Components come from alternating star contractions over tables in the shared folder.
+Equal fingerprints are one class from the start. Distinct fingerprints are searched by (segment, value). A value of more than
+`CHUNK` fingerprints is searched under the chain's second segment too, by one-bit masks, so a task holds more only of fingerprints that agree
+in about 25 bits; there, too many for a walk over pairs are divided again by the bits in which they differ. A task returns a spanning
+forest of what it links, not pairs. Components come from alternating star contractions over tables in the shared folder.
+
+`keep_first` keeps one document of each component. With a `similarity` it then drops near copies whose fingerprints differ in more bits:
+candidates by a second signature (`near_copies`), each confirmed on whole texts.
 
 Defined results: null or wordless texts have fingerprint 0 and link like any other; repeated documents are each reported;
-a null id is smaller than none (it is a component id only where all ids of the component are null); ties do not matter.
+a null id is smaller than none (it is a component id only where all ids of the component are null); ties do not matter; an empty table
+gives no rows; only the id and text columns are read, so other columns never clash. A very long text takes a few times its bytes in one
+worker.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from lakeloom.llm.common import cut, drop_path, own_columns, ship, shared_dir, texts, unused
+from lakeloom.llm.common import cut, drop_path, hot_join, is_small, meet, numbered, own_columns, ship, shared_dir, texts, unused
 
-#: Fingerprints of one (segment, value) that a task compares at once; at most two such chunks meet.
-CHUNK = 4096
-#: A fingerprint of more documents than this, and of over a thousandth of all, is joined apart from the rest.
-HOT = 10_000
+#: Fingerprints of one (segment, value) that are searched under that segment alone, and of one key whose pairs are walked over.
+CHUNK, WALK = 4096, 256
 
 
 def shingle_hashes(text: bytes, k: int, seed: int) -> np.ndarray:
@@ -91,30 +97,98 @@ def join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
             labels[:] = jumped
 
 
+class Chains:
+    """The chain test under a segment: masks of its first n segments by start."""
+
+    def __init__(self, max_bits: int):
+        self.max_bits, self.ring = max_bits, segments(max_bits)
+        m = len(self.ring)
+        self.masks = [np.array([sum(_mask(*self.ring[(s + i) % m]) for i in range(n)) for s in range(m)], np.uint64) for n in range(1, m + 1)]
+
+    def near(self, a: np.ndarray, b: np.ndarray, segment: np.ndarray) -> np.ndarray:
+        """Whether the chains of 1, 2, ... segments that start there stay within their budgets, the last of which is the whole distance."""
+        m, differ = len(self.ring), a ^ b
+        at = np.arange(len(differ))
+        for n in range(1, m + 1):
+            at = at[np.bitwise_count(differ[at] & self.masks[n - 1][segment[at]]) <= n * self.max_bits // m]
+        out = np.zeros(len(differ), bool)
+        out[at] = True
+        return out
+
+
+def walk(fp: np.ndarray, order: np.ndarray, lead: np.ndarray, segment: np.ndarray, labels: np.ndarray, chains: Chains) -> None:
+    """Link all pairs within each run of `order` (runs begin at `lead`) that are not linked yet."""
+    end = np.repeat(np.append(lead[1:], len(order)), np.diff(np.append(lead, len(order))))
+    at, step = np.arange(len(order)), 1
+    while len(at := at[at + step < end[at]]):
+        i, j = order[at], order[at + step]
+        far = labels[i] != labels[j]
+        i, j = i[far], j[far]
+        near = chains.near(fp[i], fp[j], segment[i])
+        join_labels(labels, i[near], j[near])
+        step += 1
+
+
+def link_large(fp: np.ndarray, members: np.ndarray, segment: np.ndarray, labels: np.ndarray, chains: Chains) -> None:
+    """Link the members (of one key) without walking over all their pairs.
+
+    Neighbours by one bit are looked up. The bits in which the members differ are dealt into `max_bits + 1` parts, one of which is equal in
+    any two near ones, and each part's groups of equal value are taken in turn, until they are small.
+    """
+    some = np.sort(fp[members])
+    place = members[np.argsort(fp[members])]
+    vary = int(np.bitwise_or.reduce(some ^ some[0]))
+    for b in range(64):
+        if vary >> b & 1:
+            to = np.minimum(np.searchsorted(some, some ^ np.uint64(1 << b)), len(some) - 1)
+            there = np.flatnonzero(some[to] == some ^ np.uint64(1 << b))
+            there = there[chains.near(some[there], some[to[there]], segment[place[there]])]
+            join_labels(labels, place[there], place[to[there]])
+    left = [members]
+    while left:
+        members = left.pop()
+        if (labels[members] == labels[members[0]]).all():
+            continue
+        some = fp[members]
+        vary = int(np.bitwise_or.reduce(some ^ some[0]))
+        bits = [b for b in range(64) if vary >> b & 1]
+        parts = [x for x in np.array_split(np.array(bits, np.uint64), chains.max_bits + 1) if len(x)]
+        if len(parts) <= chains.max_bits:  # too few bits to differ in more
+            walk(fp, members, np.array([0]), segment, labels, chains)
+            continue
+        for part in parts:
+            key = some & np.uint64(sum(1 << int(b) for b in part))
+            order = np.argsort(key, kind="stable")
+            key, held = key[order], members[order]
+            lead = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            size = np.diff(np.append(lead, len(held)))
+            left += [held[a : a + n] for a, n in zip(lead[size > WALK], size[size > WALK], strict=True)]
+            small = np.repeat(size <= WALK, size)
+            if small.any():
+                n = size[size <= WALK]
+                walk(fp, held[small], np.cumsum(n) - n, segment, labels, chains)
+
+
 def link_sorted(fp: np.ndarray, group: np.ndarray, segment: np.ndarray, max_bits: int) -> np.ndarray:
     """Labels of fingerprints that come in groups: within a group, pigeonring candidates under `segment` are linked if at most `max_bits` bits differ."""
-    ring = segments(max_bits)
-    m = len(ring)
-    masks = [np.array([sum(_mask(*ring[(s + i) % m]) for i in range(n)) for s in range(m)], np.uint64) for n in range(1, m + 1)]
-    second = [np.array([(1 << (ring[(s + 1) % m][0] + j)) if j < ring[(s + 1) % m][1] else 0 for s in range(m)], np.uint64) for j in range(max(w for _, w in ring))]
+    chains = Chains(max_bits)
+    ring, m = chains.ring, len(chains.ring)
     labels = np.arange(len(fp))
-    both = masks[1][segment] if m > 1 else masks[0][segment]
+    lead = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(fp) else np.empty(0, np.int64)
+    size = np.diff(np.append(lead, len(fp)))
+    for a, n in zip(lead[size > WALK], size[size > WALK], strict=True):
+        link_large(fp, np.arange(a, a + n), segment, labels, chains)
+    small = np.flatnonzero(np.repeat(size <= WALK, size))
+    if not len(small):
+        return labels
+    second = [np.array([(1 << (ring[(s + 1) % m][0] + j)) if j < ring[(s + 1) % m][1] else 0 for s in range(m)], np.uint64) for j in range(max(w for _, w in ring))]
+    both = chains.masks[min(1, m - 1)][segment]
     for bit in second if m > 1 else [np.zeros(m, np.uint64)]:
-        key = fp & both & ~bit[segment]
-        order = np.lexsort((key, group))
-        g, k, f, s = group[order], key[order], fp[order], segment[order]
-        lead = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (k[1:] != k[:-1])]))
-        run_end = np.repeat(np.append(lead[1:], len(g)), np.diff(np.append(lead, len(g))))
-        at, step = np.arange(len(g)), 1
-        while len(at := at[at + step < run_end[at]]):
-            i = at[labels[order[at]] != labels[order[at + step]]]
-            j = i + step
-            differ = f[i] ^ f[j]
-            for n in range(2, m + 1):  # chains of 2, 3, ... segments within their budgets, then the whole ring
-                near = np.bitwise_count(differ & masks[n - 1][s[i]]) <= n * max_bits // m
-                i, j, differ = i[near], j[near], differ[near]
-            join_labels(labels, order[i], order[j])
-            step += 1
+        key = (fp & both & ~bit[segment])[small]
+        order = np.lexsort((key, group[small]))
+        g, k = group[small][order], key[order]
+        first = np.flatnonzero(np.concatenate([[True], (g[1:] != g[:-1]) | (k[1:] != k[:-1])]))
+        walk(fp, small[order], first, segment, labels, chains)
     return labels
 
 
@@ -124,44 +198,48 @@ def links(prints: DataFrame, max_bits: int, top: str) -> DataFrame:
     ring = segments(max_bits)
     value = [F.shiftrightunsigned("_fp", a).bitwiseAND(F.lit((1 << w) - 1)) for a, w in ring]
     keyed = prints.select("_fp", F.inline(F.array(*[F.struct(F.lit(i).alias("_seg"), v.cast("int").alias("_val")) for i, v in enumerate(value)])))
-    # At most (max_bits + 1) * 2**width values, whatever the input: counted to find those too large for one task.
-    sizes = keyed.groupBy("_seg", "_val").count()
-    mean = sizes.agg(F.avg("count")).first()[0] or 0
-    size = int(max(CHUNK, 4 * mean))
-    large = F.broadcast(sizes.where(F.col("count") > size).withColumn("_n", F.ceil(F.col("count") / size).cast("int")).drop("count"))
-    mine = F.pmod(F.xxhash64("_fp"), F.col("_n")).cast("int")
-    keyed = keyed.join(large, ["_seg", "_val"], "left").withColumn("_n", F.coalesce("_n", F.lit(1))).withColumn("_mine", mine)
-    # Chunk c meets chunk d in task (min, max); alone in its value it meets itself.
-    keyed = keyed.select("_seg", "_val", "_fp", "_mine", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_other"))
-    keyed = keyed.select("_seg", "_val", "_fp", F.least("_mine", "_other").alias("_lo"), F.greatest("_mine", "_other").alias("_hi"))
-    keys = ["_seg", "_val", "_lo", "_hi"]
+    whole = F.lit(0).cast("long").alias("_two")
+    if len(ring) > 1:
+        # At most (max_bits + 1) * 2**width values, whatever the input: counted to find those too large to be searched under one segment.
+        large = F.broadcast(keyed.groupBy("_seg", "_val").count().where(F.col("count") > CHUNK).select("_seg", "_val", F.lit(True).alias("_large")))
+        keyed = keyed.join(large, ["_seg", "_val"], "left")
+        # By segment: the next segment's value without each of its bits in turn, with the bit's number above it.
+        masked = [F.array(*[value[(s + 1) % len(ring)].bitwiseAND(F.lit(((1 << w) - 1) & ~(1 << j))).cast("long") + F.lit((j + 1) << 40) for j in range(w)]) for s, w in enumerate([*[w for _, w in ring[1:]], ring[0][1]])]
+        small = keyed.where("_large IS NULL").select("_seg", "_val", whole, "_fp")
+        keyed = small.unionByName(keyed.where("_large").select("_seg", "_val", F.explode(F.element_at(F.array(*masked), F.col("_seg") + 1)).alias("_two"), "_fp"))
+    else:
+        keyed = keyed.select("_seg", "_val", whole, "_fp")
+    keys = ["_seg", "_val", "_two"]
     keyed = keyed.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *keys).sortWithinPartitions(*keys)
 
     def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
         def linked(rows: np.ndarray) -> pa.RecordBatch:
-            change = np.concatenate([[0], np.cumsum((rows[1:, :4] != rows[:-1, :4]).any(1))])
-            fp = rows[:, 4].copy().view(np.uint64)
+            change = np.concatenate([[0], np.cumsum((rows[1:, :3] != rows[:-1, :3]).any(1))])
+            fp = rows[:, 3].copy().view(np.uint64)
             labels = link_sorted(fp, change, rows[:, 0], max_bits)
             far = labels != np.arange(len(labels))
-            a, b = rows[far, 4], rows[labels[far], 4]
+            a, b = rows[far, 3], rows[labels[far], 3]
             return pa.RecordBatch.from_arrays([pa.array(np.maximum(a, b)), pa.array(np.minimum(a, b))], ["a", "b"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1, 3, 4, 2)], axis=1)
+            rows = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4)], axis=1)
+            if held and (rows[-1, :3] == held[0][0, :3]).all():  # the group that goes on takes the whole batch
+                held.append(rows)
+                continue
             rows = np.concatenate([*held, rows])
-            same = (rows[:, :4] == rows[-1, :4]).all(1)
+            same = (rows[:, :3] == rows[-1, :3]).all(1)
             whole = len(rows) - int(same[::-1].argmin() if not same.all() else len(rows))
-            held = [rows[whole:]]  # the last group may go on; it has at most two chunks
+            held = [rows[whole:]]  # the last group may go on
             if whole:
                 yield linked(rows[:whole])
         if held:
-            yield linked(held[0])
+            yield linked(np.concatenate(held))
 
-    return cut(keyed.select("_seg", "_val", "_fp", "_lo", "_hi").mapInArrow(forest, "a long, b long").distinct(), top, "links")
+    return cut(keyed.select(*keys, "_fp").mapInArrow(forest, "a long, b long").distinct(), top, "links")
 
 
 def components(edges: DataFrame, top: str) -> DataFrame:
@@ -174,13 +252,13 @@ def components(edges: DataFrame, top: str) -> DataFrame:
     old, turn, before = None, 0, measure(edges)
     while before[0]:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("_m")).select(F.col("a").alias("_u"), F.least("a", "_m").alias("_m"))
+        least = both.groupBy("a").agg(F.min("b").alias("_m")).select("a", F.least("a", "_m").alias("_m"))
         # Large star: neighbours above u hang on the smallest neighbour of u (or u).
-        stars = both.join(least, F.col("a") == F.col("_u")).where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct()
+        stars = hot_join(both, least, "a").where(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("_m").alias("b")).distinct()
         stars = cut(stars, top, f"large{turn}")
         # Small star: u and its smaller neighbours hang on the smallest of them.
-        least = stars.groupBy("a").agg(F.min("b").alias("_m")).withColumnRenamed("a", "_u")
-        low = stars.join(least, F.col("a") == F.col("_u")).select(F.explode(F.array("b", "a")).alias("a"), F.col("_m").alias("b")).where("a <> b").distinct()
+        least = stars.groupBy("a").agg(F.min("b").alias("_m"))
+        low = hot_join(stars, least, "a").select(F.explode(F.array("b", "a")).alias("a"), F.col("_m").alias("b")).where("a <> b").distinct()
         edges = cut(low, top, f"small{turn}")
         for name in old or []:
             drop_path(spark, f"{top}/{name}")
@@ -197,29 +275,39 @@ def near_duplicates(docs: DataFrame, max_bits: int = 4, k: int = 4, seed: int =
     spark = docs.sparkSession
     top = shared_dir(spark)
     prints = cut(fingerprints(docs, k, seed, id_col, text_col), top, "prints")
-    distinct = cut(prints.groupBy("_fp").agg(F.min("_id").alias("_least"), F.count("*").alias("_n")), top, "distinct")
+    distinct = cut(prints.groupBy("_fp").agg(F.min("_id").alias("_least")), top, "distinct")
     roots = components(links(distinct.select("_fp"), max_bits, top), top)
-    of = distinct.join(roots, distinct["_fp"] == roots["node"], "left").select("_fp", "_least", "_n", F.coalesce("root", "_fp").alias("_root"))
-    group = of.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    found = cut(of.join(group, "_root").select("_fp", "_n", "component_id"), top, "classes")
-    # A fingerprint of very many documents meets its class in a broadcast of at most a thousand rows, the others in a shuffle.
-    n = prints.count()
-    hot = F.broadcast(found.where(F.col("_n") > max(HOT, n // 1000)).select(F.col("_fp"), F.col("component_id").alias("_hot"), F.lit(True).alias("_is_hot")))
-    marked = prints.join(hot, "_fp", "left")
-    cold = marked.where(F.col("_is_hot").isNull()).select("_id", "_fp").join(found.select("_fp", "component_id"), "_fp").select("_id", "_fp", "component_id")
-    every = cold.unionByName(marked.where("_is_hot").select("_id", "_fp", F.col("_hot").alias("component_id")))
+    of = distinct.join(roots, distinct["_fp"] == roots["node"], "left").select("_fp", "_least", F.coalesce("root", "_fp").alias("_root"))
+    of = cut(of, top, "rooted")
+    found = cut(hot_join(of, of.groupBy("_root").agg(F.min("_least").alias("component_id")), "_root").select("_fp", "component_id"), top, "classes")
+    every = hot_join(prints, found, "_fp")
     return every.select(F.col("_id").alias(id_col), F.lpad(F.lower(F.hex("_fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_first(docs: DataFrame, max_bits: int = 4, k: int = 4, seed: int = 42, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The first row of each component, by id, then by row, with all columns of `docs`; a null id comes last. Rows that share an id, or have none, are documents of their own."""
+def keep_first(docs: DataFrame, max_bits: int = 4, k: int = 4, seed: int = 42, similarity: float | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The first row of each component, by id, then by row, with all columns of `docs`; a null id comes last. Rows that share an id, or have none, are documents of their own.
+
+    With a similarity, a row also goes if its set of k-word shingles has that Jaccard similarity, or more, with an earlier row's: by id if
+    ids are integers, else by their hash.
+    """
+    from lakeloom.llm.near_copies import later_copies
+
     spark = docs.sparkSession
-    top, row, key = shared_dir(spark), unused("_row", docs), unused("_kept", docs)
-    # A row's number must not change when the table is read again.
-    rows = cut(docs.select("*", F.monotonically_increasing_id().alias(row)), top, "rows")
+    top, row, key = shared_dir(spark), unused("_row", docs), unused("_gone", docs)
+    rows = numbered(docs, row, top)
     at = dict(zip(rows.columns, own_columns(rows), strict=True))
     place = F.struct(at[id_col].isNull().alias("_null"), at[id_col].alias("_id"), at[row].alias("_row"))
     near = near_duplicates(rows.select(place.alias("_place"), at[text_col].alias("_text")), max_bits, k, seed, "_place", "_text")
-    kept = cut(near.where("_place._row = component_id._row").select(F.col("_place._row").alias(key)), top, "kept")
-    # The kept rows grow with the documents: always a shuffle (hash tables of numbers, no sort of the texts), never a broadcast.
-    return rows.join(kept.hint("shuffle_hash"), at[row] == F.col(key), "left_semi").select(own_columns(docs))
+    gone = cut(near.where("_place._row <> component_id._row").select(F.col("_place._row").alias(key)), top, "gone_by_print")
+    if similarity is not None:
+        first = meet(rows, at[row] == F.col(key), gone, "left_anti")
+        if not is_small(gone):  # else each reading of the texts would move them all again
+            first = cut(first, top, "first")
+        whole = isinstance(docs.schema[id_col].dataType, IntegralType)
+        order = F.coalesce(at[id_col].cast("long"), F.lit((1 << 63) - 1)) if whole else F.xxhash64(at[id_col])
+        plain = first.select(order.alias("_ord"), at[row].alias("_row"), at[text_col].cast("string").alias("_text"))
+        gone = gone.union(later_copies(plain, k, Fraction(str(similarity)), f"{top}/near"))
+    gone = cut(gone, top, "gone")
+    drop_path(spark, f"{top}/near")
+    drop_path(spark, f"{top}/first")
+    return meet(rows, at[row] == F.col(key), gone, "left_anti").select(own_columns(docs))

@@ -64,6 +64,7 @@ def test_matches_brute_force(spark):
 
 def test_links_lose_nothing_in_dense_balls_split_over_tasks(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(simhash, "CHUNK", 50)
+    monkeypatch.setattr(simhash, "WALK", 20)
     rng = random.Random(3)
     prints = set()
     for centre in (rng.getrandbits(64), rng.getrandbits(64)):
@@ -103,3 +104,38 @@ def test_keep_first_keeps_unrelated_rows_of_null_or_repeated_ids(spark):
     kept = simhash.keep_first(spark.createDataFrame(rows, SCHEMA)).collect()
     assert [r["b"] for r in sorted(kept, key=lambda r: r["b"]) if r["b"] not in (2, 3)] == [1, 4, 5, 6, 8]
     assert sum(r["text"] == far["b"] for r in kept) == 1
+
+
+def test_fingerprints_that_share_segments_link_in_no_long_time():
+    import time
+
+    rng = np.random.default_rng(5)
+    for shared in (13, 26):
+        fp = np.unique(rng.integers(0, 2**63, 50_000, dtype=np.uint64) >> np.uint64(shared) << np.uint64(shared))
+        near = fp[:2000] ^ (np.uint64(1) << np.uint64(40)) ^ (np.uint64(1) << np.uint64(60)) ^ (np.uint64(1) << np.uint64(63))
+        fp = np.unique(np.concatenate([fp, near]))
+        began = time.time()
+        labels = simhash.link_sorted(fp, np.zeros(len(fp), np.int64), np.zeros(len(fp), np.int64), 4)
+        assert time.time() - began < 20
+        at = np.searchsorted(fp, near)
+        assert (labels[at] == labels[np.searchsorted(fp, near ^ (np.uint64(1) << np.uint64(40)) ^ (np.uint64(1) << np.uint64(60)) ^ (np.uint64(1) << np.uint64(63)))]).all()
+
+
+def test_components_with_hot_centres(spark, tmp_path, monkeypatch):
+    from lakeloom.llm import common
+
+    monkeypatch.setattr(common, "HOT", 3)
+    rng = random.Random(8)
+    edges = {(i, 0) for i in range(1, 60)} | {(500, i) for i in range(100, 160)} | {(200 + i + 1, 200 + i) for i in range(50)} | {(a, b) for a, b in ((rng.randrange(600, 700), rng.randrange(600, 700)) for _ in range(60)) if a > b}
+    root = {x: x for e in edges for x in e}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    got = simhash.components(spark.createDataFrame(sorted(edges), "a long, b long"), "file://" + str(tmp_path)).collect()
+    assert sorted((r["node"], r["root"]) for r in got) == sorted((x, find(x)) for x in root if find(x) != x)
