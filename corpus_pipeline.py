@@ -1,4 +1,4 @@
-"""Corpus pipeline: six operators in turn over the documents, each stage written and read again before the next."""
+"""Corpus pipeline: five operators in turn over the documents, each stage written and read again before the next."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.llm import decontaminate, mixing, near_copies, quality_model, simhash, token_files
+from lakeloom.llm import decontaminate, mixing, quality_model, simhash, token_files
 from lakeloom.llm.common import cut, shared_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,13 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of the smallest id of each group of near-duplicates by op3's fingerprints."""
-    return simhash.keep_first(docs)
-
-
-def close_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with a 5-word Jaccard similarity of 0.8 or more, which fingerprints mostly miss, the first by id."""
-    return near_copies.drop_near_copies(docs)
+    """One document of each group of near-duplicates: by fingerprints of 5-word shingles, and of those that stay, by a Jaccard similarity of 0.8 or more."""
+    return simhash.keep_first(docs, k=5, similarity=0.8)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -48,7 +43,6 @@ def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 STAGES: list[tuple[str, Stage]] = [
     ("quality", quality),
     ("near_duplicates", near_duplicates),
-    ("close_copies", close_copies),
     ("decontamination", decontamination),
     ("mixture", mixture),
     ("token_output", token_output),
