@@ -7,8 +7,8 @@ the texts of the template's loss roles only. The state machine starts in `start`
 are in a permitted order, and if not, where they first break it; conversations in another order are formatted all the same.
 
 Defined results: a null text or role is empty; rows of one turn are ordered by role and text; repeated rows are repeated turns; a null
-conversation id is a conversation of its own; turns without a number come first; only the four named columns are read. A
-conversation is one output row, so its rows meet in one task.
+conversation id is a conversation of its own; turns without a number come first; only the four named columns are read, so others never
+clash; an empty table gives no rows. A conversation is one output row, so its rows meet in one task; very long texts are kept whole there.
 """
 
 from __future__ import annotations

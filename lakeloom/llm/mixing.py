@@ -10,7 +10,7 @@ Rates become whole copies by systematic rounding down the sizes of a source, whi
 most; then copies of one size at a time are moved where they bring the source nearest to its target, as long as any do. Within a size the
 documents that get the larger number of copies are chosen by hash; a size of very many documents is dealt out in parts.
 
-The mix is a specification by source: its sources (not documents) come to the driver, one number each, and a source's distinct sizes
+The mix is a specification by source: its sources (not documents; at most `MOST_SOURCES`) come to the driver, some numbers each, and a source's distinct sizes
 (at most the square root of twice its words) meet in one task.
 
 Defined results: null or wordless texts have size 0, count for no target and are taken once; a null source is a source of
@@ -31,8 +31,8 @@ from pyspark.sql.window import Window as W
 
 from lakeloom.llm.common import cut, meet, numbered, own_columns, shared_dir, unused
 
-#: Documents of one size that are ranked in one task (or a thousandth of all), relative error of the dual.
-PART, CLOSE = 1000, 1e-7
+#: Documents of one size that are ranked in one task (or a thousandth of all), relative error of the dual, sources of a mix at most.
+PART, CLOSE, MOST_SOURCES = 1000, 1e-7, 100_000
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -98,8 +98,10 @@ def plan(docs: DataFrame, weigh: Callable[[Sequence[str | None]], dict[str | Non
     sized = cut(sized, top, "sized")
     kind = sized.schema["_name"].dataType
     cells = cut(sized.groupBy("_name", "_size").agg(F.count("*").alias("_n")), top, "cells")
-    total = {r["_name"]: r["words"] for r in cells.groupBy("_name").agg(F.sum(F.col("_n") * F.col("_size")).alias("words")).collect()}
-    docs_of = {r["_name"]: r["n"] for r in cells.groupBy("_name").agg(F.sum("_n").alias("n")).collect()}
+    held = cells.groupBy("_name").agg(F.sum(F.col("_n") * F.col("_size")).alias("words"), F.sum("_n").alias("n")).limit(MOST_SOURCES + 1).collect()
+    if len(held) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources: a mix is specified by source")
+    total, docs_of = {r["_name"]: r["words"] for r in held}, {r["_name"]: r["n"] for r in held}
     names = sorted(total, key=lambda s: (s is None, s if s is not None else ""))
     target = targets(total, weigh(names), share, most)
     size, goal = np.array([total[s] for s in names], float), np.array([target[s] for s in names], float)

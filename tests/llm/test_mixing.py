@@ -72,3 +72,57 @@ def test_mixed_rows_keep_their_columns(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], SCHEMA)
     assert mixing.mix_counts(df).collect() == [] and mixing.mix(df).collect() == []
+
+
+def plain_targets(total, weights):
+    """Shares by weight of 1.5 times all words, a source at a time: the one furthest above twice its size stops first."""
+    left, goal, open_ = 1.5 * sum(total.values()), {}, dict(total)
+    while open_:
+        unit = left / sum(weights[s] for s in open_)
+        over = [s for s in open_ if weights[s] * unit > 2 * open_[s]]
+        if not over:
+            return goal | {s: weights[s] * unit for s in open_}
+        worst = max(over, key=lambda s: weights[s] / max(open_[s], 1e-9))
+        goal[worst] = 2 * open_[worst]
+        left -= goal[worst]
+        del open_[worst]
+    return goal
+
+
+def test_copies_are_those_of_the_optimum_found_by_bisection(spark):
+    """The optimum of each source by bisection over plain lists: copies of a size are its documents' rates in sum, but for rounding and a few moved copies."""
+    import math
+
+    data = [r for r in rows() if r[0] is not None]
+    got = {}
+    for r in mixing.mix_counts(spark.createDataFrame(data, SCHEMA)).collect():
+        got.setdefault(r["doc_id"], []).append(r)
+    by = {}
+    for i, t, s, *_ in data:
+        by.setdefault(s, []).append((i, len((t or "").split())))
+    order = sorted(by, key=lambda s: (s is None, [ord(c) for c in s or ""]))
+    goal = plain_targets({s: sum(n for _, n in d) for s, d in by.items()}, {s: (3, 1, 2)[i % 3] for i, s in enumerate(order)})
+    for s, docs in by.items():
+        total = sum(n for _, n in docs)
+        assert all(abs(r["target"] - goal[s]) < 1e-6 for i, _ in docs for r in got[i])
+        if not total:
+            assert all(r["copies"] == 1 for i, _ in docs for r in got[i])
+            continue
+        mean = total / len(docs)
+        words = lambda d, docs=docs, mean=mean: sum(n * min(2, math.exp(min(50, d * n / mean))) for _, n in docs if n)
+        low, high = -1e6, 1e6
+        for _ in range(200):
+            mid = (low + high) / 2
+            low, high = (mid, high) if words(mid) < goal[s] else (low, mid)
+        want, have = {}, {}
+        for i, n in docs:
+            want[n] = want.get(n, 0) + (min(2, math.exp(min(50, low * n / mean))) if n else 1)
+        for i, n in {(i, n) for i, n in docs}:
+            have[n] = have.get(n, 0) + sum(r["copies"] for r in got[i] if r["size"] == n)
+        off = [n for n in want if abs(have[n] - want[n]) > 1 + 1e-6]
+        assert len(off) <= 3 or max(want) > 0.1 * total, (s, off)  # where one document is most of a source, others make up for its rounding
+        miss = goal[s] - sum(n * k for n, k in have.items())
+        assert abs(miss) <= max(n for _, n in docs) / 2 + 1
+        count = {n: sum(m == n for _, m in docs) for n in want}
+        sizes = [n for n in want if n and (have[n] < 2 * count[n] if miss > 0 else have[n] > 0)]
+        assert all(abs(abs(miss) - n) >= abs(miss) - 1e-6 for n in sizes), (s, miss)
