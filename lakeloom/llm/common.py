@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that one numpy pass takes; the working arrays are about ten times as large.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 #: Bytes of an Arrow batch between Spark and Python (a longer row is a batch of its own). It is held on both sides.
 BATCH_BYTES = 8 << 20
 
@@ -65,21 +65,32 @@ def own_columns(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def is_scan(df: DataFrame) -> bool:
+    """Whether each row of `df` is one row of a file, the same whenever it is read: a scan under filters and selections only."""
+    plan = df._jdf.queryExecution().analyzed()
+    if not plan.deterministic():
+        return False
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
+        plan = plan.children().head()
+    return plan.nodeName() == "LogicalRelation"
+
+
 def numbered(df: DataFrame, row: str, top: str) -> DataFrame:
     """`df` with a number for each row that is the same whenever the table is read again, whatever the executors.
 
     Rows of files get it from their file and their place there; the rows of any other plan are written down first.
     """
-    path, place, number = (unused(x, df) for x in ("_path", "_place", "_number"))
-    try:
-        at = df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
-        files = sorted(r[0] for r in at.select(path).distinct().limit(FILES + 1).collect())
-    except AnalysisException:
-        files = []
+    path, place, number, of = (unused(x, df) for x in ("_path", "_place", "_number", "_of"))
+    files: list[str] = []
+    if is_scan(df):
+        try:
+            at = df.select("*", F.col("_metadata.file_path").alias(path), F.col("_metadata.row_index").alias(place))
+            files = sorted(r[0] for r in at.select(path).distinct().limit(FILES + 1).collect())
+        except AnalysisException:  # files of another format, or a column of that name
+            pass
     if not files or len(files) > FILES:
         return cut(df.select("*", F.monotonically_increasing_id().alias(row)), top, "rows")
-    numbers = F.broadcast(df.sparkSession.createDataFrame(list(enumerate(files)), f"{number} long, {unused('_of', df)} string"))
-    at = at.join(numbers, F.col(path) == F.col(unused("_of", df)))
+    at = at.join(F.broadcast(df.sparkSession.createDataFrame(list(enumerate(files)), f"{number} long, {of} string")), F.col(path) == F.col(of))
     return at.select(*own_columns(df), (F.shiftleft(F.col(number), 40) + F.col(place)).alias(row))
 
 
