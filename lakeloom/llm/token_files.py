@@ -7,8 +7,8 @@ so each block, and each stretch between checkpoints, decodes on its own. `read_t
 batch advance together, one table look-up an id.
 
 Encoding is the library's own. A text is cut at some of the places where the byte-level pattern always begins a new
-word (`cuts`), and each distinct short chunk is encoded once while it is remembered: chunks are looked up by hash and their bytes are
-compared on every hit, so the ids are always those of the library. A tokenizer of another build gets whole texts.
+word (`cuts`), and each distinct chunk of at most `SHORT` bytes is encoded once while it is remembered: chunks are looked up by hash and
+all their bytes are compared on every hit, so the ids are always those of the library. A tokenizer of another build gets whole texts.
 
 Defined results: a null or empty text has only the end id; repeated documents are each written (ties of the id go by the hash of the
 text); null ids come first; an empty table has an empty file; only the id and text columns are read, so other columns never clash.
@@ -18,7 +18,6 @@ A very long text is encoded a piece at a time and is one block of its own.
 from __future__ import annotations
 
 import functools
-import json
 import os
 import re
 import zlib
@@ -30,10 +29,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import buffer_of, drop_path, pieces, same_spans, ship, span_hashes
+from lakeloom.llm.common import buffer_of, drop_path, mix, pieces, ship
 
+#: Bytes of text that are cut and looked up at once; slots of each of the memory's two tables, as a power of two.
+ENCODE_BYTES, SLOTS = 1 << 20, 22
 #: Longest code in bits; ids between two checkpoints; ids of a block, save for longer documents; remembered chunks, and bytes of each at most.
-LONGEST, EVERY, BLOCK_IDS, REMEMBERED, SHORT = 20, 128, 1 << 16, 1_500_000, 64
+LONGEST, EVERY, BLOCK_IDS, REMEMBERED, SHORT = 20, 128, 1 << 16, 950_000, 32
 
 #: Bytes that surely end a character other than white space (of the others, some end a Unicode space).
 _NO_SPACE = np.zeros(256, bool)
@@ -76,9 +77,24 @@ def cuts(raw: np.ndarray, offsets: np.ndarray, at_marks: bool) -> np.ndarray:
     return begins
 
 
-def _merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    at = np.searchsorted(a[0], b[0])
-    return np.insert(a[0], at, b[0]), np.insert(a[1], at, b[1])
+def chunk_keys(raw: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Rows of numbers that two chunks of at most SHORT bytes share just if their bytes are equal: their length, then eight bytes each."""
+    padded = np.concatenate([raw, np.zeros(SHORT, np.uint8)])
+    words = np.ndarray((len(raw) + SHORT - 7,), "<u8", padded, strides=(1,))
+    out = np.empty((1 + SHORT // 8, len(starts)), np.uint64)
+    out[0] = n
+    for i in range(SHORT // 8):
+        left = np.clip(n - 8 * i, 0, 8).astype(np.uint64)
+        mask = np.where(left == 8, ~np.uint64(0), (np.uint64(1) << (left & np.uint64(7)) * np.uint64(8)) - np.uint64(1))
+        out[i + 1] = words[starts + np.minimum(8 * i, n)] & mask
+    return out
+
+
+def key_hashes(keys: np.ndarray) -> np.ndarray:
+    h = mix(keys[0] + keys[1])
+    for k in keys[2:]:
+        h = mix(h + k)
+    return h
 
 
 class Encoder:
@@ -87,63 +103,62 @@ class Encoder:
     def __init__(self, file: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
 
         self.model = Tokenizer.from_file(file)
-        with open(file, encoding="utf-8") as f:
-            spec = json.load(f)
-        pre = spec.get("pre_tokenizer") or {}
-        plain = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space") and not spec.get("normalizer") and not spec.get("truncation") and not spec.get("padding")
-        self.by_chunk = plain and not any(re.search(r"\s", t["content"]) or t.get("lstrip") or t.get("rstrip") or t.get("single_word") for t in spec.get("added_tokens", []))
-        self.added = [t["content"] for t in spec.get("added_tokens", [])]
+        pre, added = self.model.pre_tokenizer, list(self.model.get_added_tokens_decoder().values())
+        plain = isinstance(pre, ByteLevel) and pre.use_regex and not pre.add_prefix_space and self.model.normalizer is None and self.model.truncation is None and self.model.padding is None
+        self.by_chunk = plain and not any(re.search(r"\s", t.content) or t.lstrip or t.rstrip or t.single_word for t in added)
+        self.added = [t.content for t in added]
         self.line_end = self.model.encode("\n", add_special_tokens=False).ids
         self.forget()
 
     def forget(self) -> None:
-        #: Hashes of the remembered chunks in ascending order with each one's number, in two parts: the second takes new ones until it is
-        #: large enough to be merged. By number, the ends of the chunk's bytes and of its ids in their stores, which grow by doubling.
-        self.parts = [(np.empty(0, np.uint64), np.empty(0, np.int64))] * 2
+        #: By number of a remembered chunk: its key and the end of its ids in the store; these grow by doubling. Two tables by hash tell the
+        #: number; a chunk that finds both its slots taken takes the first one, and the chunk that was there is learned again when it comes.
         self.count = 0
-        self.ends, self.byte_ends = np.zeros(1 << 12, np.int64), np.zeros(1 << 12, np.int64)
-        self.store, self.bytes = np.empty(1 << 14, np.int32), np.empty(1 << 16, np.uint8)
+        self.keys, self.ends = np.zeros((1 + SHORT // 8, 1 << 12), np.uint64), np.zeros(1 << 12, np.int64)
+        self.store = np.empty(1 << 14, np.int32)
+        self.tables = [np.full(1 << SLOTS, -1, np.int32) for _ in range(2)]
 
-    def number_of(self, hashes: np.ndarray) -> np.ndarray:
-        """Numbers of ascending hashes, -1 where unknown."""
+    def slots(self, hashes: np.ndarray) -> list[np.ndarray]:
+        return [(hashes >> np.uint64(64 - SLOTS)).astype(np.int64), (hashes & np.uint64((1 << SLOTS) - 1)).astype(np.int64)]
+
+    def number_of(self, keys: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        """Numbers of chunks, -1 where unknown."""
         out = np.full(len(hashes), -1, np.int64)
-        for keys, number in self.parts:
-            if len(keys):
-                at = np.minimum(np.searchsorted(keys, hashes), len(keys) - 1)
-                known = keys[at] == hashes
-                out[known] = number[at[known]]
+        for table, slot in zip(self.tables, self.slots(hashes), strict=True):
+            left = np.flatnonzero(out < 0)
+            number = table[slot[left]]
+            left, number = left[number >= 0], number[number >= 0]
+            same = self.keys[0, number] == keys[0, left]
+            for i in range(1, len(keys)):
+                same &= self.keys[i, number] == keys[i, left]
+            out[left[same]] = number[same]
         return out
 
-    def reserve(self, ids: int, size: int) -> None:
-        """Room for so many more ids and bytes."""
+    def reserve(self, ids: int) -> None:
+        """Room for so many more ids."""
         while len(self.store) < self.ends[self.count] + ids:
             self.store = np.concatenate([self.store, np.empty_like(self.store)])
-        while len(self.bytes) < self.byte_ends[self.count] + size:
-            self.bytes = np.concatenate([self.bytes, np.empty_like(self.bytes)])
-
-    def remember(self, hashes: np.ndarray, raw: np.ndarray, starts: np.ndarray, n: np.ndarray, ids: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """Add chunks by ascending hash, with their bytes and ids; ids are in another order. The new numbers."""
-        first = self.count
-        self.reserve(len(ids), int(n.sum()))
-        used, byte = int(self.ends[first]), int(self.byte_ends[first])
-        while len(self.ends) <= first + len(hashes):
+
+    def remember(self, keys: np.ndarray, hashes: np.ndarray, ids: np.ndarray, sizes: np.ndarray, place: np.ndarray) -> np.ndarray:
+        """Add chunks with their ids, which are in another order; the new numbers."""
+        first, n = self.count, len(hashes)
+        self.reserve(len(ids))
+        while len(self.ends) <= first + n:
             self.ends = np.concatenate([self.ends, np.empty_like(self.ends)])
-            self.byte_ends = np.concatenate([self.byte_ends, np.empty_like(self.byte_ends)])
-        order = np.empty(len(place), np.int64)
-        order[place] = np.arange(len(place))
-        starts, n = starts[order], n[order]
-        stop = np.cumsum(n)
-        self.count += len(hashes)
+            self.keys = np.concatenate([self.keys, np.empty_like(self.keys)], axis=1)
+        used, number = int(self.ends[first]), first + place
+        self.count += n
         self.ends[first + 1 : self.count + 1] = used + np.cumsum(sizes)
-        self.byte_ends[first + 1 : self.count + 1] = byte + stop
         self.store[used : used + len(ids)] = ids
-        self.bytes[byte : byte + stop[-1]] = raw[np.arange(stop[-1]) + np.repeat(starts - stop + n, n)]
-        old, new = self.parts
-        new = _merged(new, (hashes, first + place))
-        self.parts = [_merged(old, new), (np.empty(0, np.uint64), np.empty(0, np.int64))] if 16 * len(new[0]) > len(old[0]) + (1 << 16) else [old, new]
-        return first + place
+        self.keys[:, number] = keys
+        one, two = self.slots(hashes)
+        second = (self.tables[0][one] >= 0) & (self.tables[1][two] < 0)
+        self.tables[0][one[~second]] = number[~second]
+        self.tables[1][two[second]] = number[second]
+        return number
 
     def encode(self, column: pa.Array) -> list[np.ndarray]:
         """Ids of each text of a string column, without added special tokens."""
@@ -151,7 +166,7 @@ class Encoder:
             return [np.array(e.ids, np.int32) for e in self.model.encode_batch_fast([x or "" for x in column.to_pylist()], add_special_tokens=False)]
         out: list[np.ndarray] = []
         sizes = np.diff(buffer_of(column)[1])
-        for lo, hi in pieces(sizes):
+        for lo, hi in pieces(sizes, ENCODE_BYTES):
             out += self._piece(*buffer_of(column.slice(lo, hi - lo)))
         return out
 
@@ -194,21 +209,18 @@ class Encoder:
         return ids, sizes, place
 
     def _numbers(self, raw: np.ndarray, starts: np.ndarray, n: np.ndarray) -> np.ndarray:
-        """Number of each short chunk, remembered now if it was not; -1 for one whose hash is that of other bytes."""
-        hashes, where, chunk = np.unique(span_hashes(raw, starts, starts + n), return_index=True, return_inverse=True)
-        first, size = starts[where], n[where]
-        known = self.number_of(hashes)
-        old = np.flatnonzero(known >= 0)
-        at = self.byte_ends[known[old]]
-        equal = self.byte_ends[known[old] + 1] - at == size[old]
-        equal[equal] = same_spans(raw, first[old[equal]], self.bytes, at[equal], size[old[equal]])
-        new = np.flatnonzero(known < 0)
-        known[old[~equal]] = -1
+        """Number of each short chunk, remembered now if it was not; -1 for one whose hash is that of another new one."""
+        keys = chunk_keys(raw, starts, n)
+        hashes = key_hashes(keys)
+        number = self.number_of(keys, hashes)
+        new = np.flatnonzero(number < 0)
         if len(new):
-            known[new] = self.remember(hashes[new], raw, first[new], size[new], *self._learn(raw, first[new], size[new]))
-        equal = n == size[chunk]
-        equal[equal] = same_spans(raw, starts[equal], raw, first[chunk[equal]], n[equal])
-        return np.where(equal, known[chunk], -1)
+            _, first, chunk = np.unique(hashes[new], return_index=True, return_inverse=True)
+            first = new[first]
+            learned = self.remember(keys[:, first], hashes[first], *self._learn(raw, starts[first], n[first]))
+            same = (keys[:, new] == keys[:, first[chunk]]).all(0)
+            number[new] = np.where(same, learned[chunk], -1)
+        return number
 
     def _piece(self, raw: np.ndarray, offsets: np.ndarray) -> list[np.ndarray]:
         whole = raw.tobytes()
@@ -226,7 +238,7 @@ class Encoder:
             made = [e.ids for e in self.model.encode_batch_fast([whole[a : a + m].decode() for a, m in zip(starts[alone].tolist(), n[alone].tolist(), strict=True)], add_special_tokens=False)]
             sizes[alone] = [len(x) for x in made]
             stop = np.cumsum(sizes[alone])
-            self.reserve(int(stop[-1]), 0)
+            self.reserve(int(stop[-1]))
             start[alone] = used = self.ends[self.count] + stop - sizes[alone]
             self.store[used[0] : used[0] + stop[-1]] = np.concatenate([np.array(x, np.int32) for x in made])
         stop = np.concatenate([[0], np.cumsum(sizes)])

@@ -101,8 +101,9 @@ def test_texts_of_regular_build_do_not_share_ids():
         assert model.encode(t, add_special_tokens=False).ids == ids.tolist(), len(t)
 
 
-def test_equal_hashes_never_give_equal_ids(monkeypatch):
-    monkeypatch.setattr(token_files, "span_hashes", lambda raw, starts, ends: (raw[starts] % 3).astype(np.uint64))
+@pytest.mark.parametrize("kinds", [1, 3, 1000])
+def test_equal_hashes_never_give_equal_ids(monkeypatch, kinds):
+    monkeypatch.setattr(token_files, "key_hashes", lambda keys: keys[1] % np.uint64(kinds))
     rng = random.Random(9)
     texts = [alphabet_soup(rng) for _ in range(300)]
     model, mine = Tokenizer.from_file(FILE), token_files.Encoder(FILE)
@@ -111,6 +112,16 @@ def test_equal_hashes_never_give_equal_ids(monkeypatch):
             assert model.encode(t, add_special_tokens=False).ids == ids.tolist(), t
 
 
+def test_keys_are_equal_just_for_equal_chunks():
+    rng = random.Random(12)
+    chunks = [bytes(rng.choice(b"\x00ab") for _ in range(rng.randint(1, token_files.SHORT))) for _ in range(3000)] + [b"a" * n for n in range(1, 33)]
+    raw, n = np.frombuffer(b"".join(chunks), np.uint8), np.array([len(c) for c in chunks])
+    keys = token_files.chunk_keys(raw, np.cumsum(n) - n, n)
+    assert len({tuple(k) for k in keys.T.tolist()}) == len(set(chunks))
+    again = token_files.chunk_keys(np.frombuffer(b"x" + b"".join(chunks) + b"tail", np.uint8), 1 + np.cumsum(n) - n, n)
+    assert (again == keys).all()
+
+
 def test_forgetting_changes_nothing(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 50)
     rng = random.Random(3)
