@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import uuid
 from collections.abc import Callable, Iterator
 from pathlib import Path
@@ -136,6 +138,23 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@functools.cache
+def _libc():
+    try:
+        libc = ctypes.CDLL("libc.so.6")
+        libc.malloc_trim.argtypes = [ctypes.c_size_t]
+        return libc
+    except (OSError, AttributeError):  # another C library
+        return None
+
+
+def release() -> None:
+    """Give freed memory back to the system: a worker lives on after its task and keeps it otherwise."""
+    pa.default_memory_pool().release_unused()
+    if _libc() is not None:
+        _libc().malloc_trim(0)
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each value; null gives no bytes."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

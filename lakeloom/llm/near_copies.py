@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import cut, drop_path, hot_join, meet, ship, texts
+from lakeloom.llm.common import cut, drop_path, hot_join, meet, release, ship, texts
 from lakeloom.llm.simhash import shingle_hashes
 
 #: Buckets of shingle hashes whose numbers of texts order the shingles; shingles known by themselves to be in many texts.
@@ -79,6 +79,7 @@ def common_order(docs: DataFrame, k: int) -> Order:
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(BUCKETS, np.int64), 0
         for b in batches:
+            release()
             sets = [shingle_set(t, k) for t in texts(b.column(0))]
             every = np.concatenate([_EMPTY, *sets])
             total += np.bincount(bucket(every), minlength=BUCKETS)
@@ -109,6 +110,7 @@ def prefixes(docs: DataFrame, order: Order, k: int, similarity: Fraction) -> Dat
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            release()
             hashes, hot, sizes, lengths = [_EMPTY], [np.empty(0, bool)], [], []
             for t in texts(b.column(2)):
                 s = shingle_set(t, k)
@@ -308,6 +310,7 @@ def confirmed(pairs: DataFrame, docs: DataFrame, k: int, similarity: Fraction, t
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = _EMPTY
         for b in batches:
+            release()
             found = []
             for y, t in zip(b.column(0).to_pylist(), texts(b.column(1)), strict=True):
                 other = shingle_set(t, k)

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import buffer_of, cut, keep_rows, mix, pieces, shared_dir, ship, span_hashes, word_spans
+from lakeloom.llm.common import buffer_of, cut, keep_rows, mix, pieces, release, shared_dir, ship, span_hashes, word_spans
 
 #: Different documents that train the scorer; hash buckets of byte grams and of class grams; steps that a measured share is divided into.
 TRAIN_DOCS, BYTE_BUCKETS, CLASS_BUCKETS = 1500, 4096, 1024
@@ -203,6 +203,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Mode
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, least = np.zeros(3 ** len(LABELLERS), np.int64), np.empty(0, np.int64)
         for b in batches:
+            release()
             least = smallest(np.concatenate([least, b.column(0).to_numpy()]), TRAIN_DOCS)
             for lo, hi in pieces(np.diff(buffer_of(b.column(1))[1])):
                 total += np.bincount(_pattern(votes_of(*buffer_of(b.column(1).slice(lo, hi - lo)))[0]), minlength=len(total))

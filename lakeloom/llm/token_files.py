@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import buffer_of, drop_path, mix, pieces, ship
+from lakeloom.llm.common import buffer_of, drop_path, mix, pieces, release, ship
 
 #: Bytes of text that are cut and looked up at once; slots of each of the memory's two tables, as a power of two.
 ENCODE_BYTES, SLOTS = 1 << 20, 22
@@ -341,6 +341,7 @@ def write_tokens(docs: DataFrame, file: str, path: str, end_id: int = 0, id_col:
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = encoder(file)
         for b in batches:
+            release()
             for at in range(0, b.num_rows, 512):
                 some = b.slice(at, 512)
                 ids = [np.append(x, np.int32(end_id)) for x in model.encode(some.column(2))]
@@ -354,11 +355,12 @@ def write_tokens(docs: DataFrame, file: str, path: str, end_id: int = 0, id_col:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(0, np.int64)
         for b in batches:
-            for n, x in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                new = np.bincount(_ids(x, n))
-                if len(new) > len(total):
-                    new, total = total, new.astype(np.int64)
-                total[: len(new)] += new
+            if not b.num_rows:
+                continue
+            new = np.bincount(np.concatenate([_ids(x, n) for n, x in zip(b.column(0).to_pylist(), b.column(1), strict=True)]))
+            if len(new) > len(total):
+                new, total = total, new.astype(np.int64)
+            total[: len(new)] += new
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(total[at], pa.int64())], ["id", "n"])
 
